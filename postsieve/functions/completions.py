@@ -10,6 +10,7 @@ FENCE = "```"
 LANGUAGES_ALLOWED = ["fr", "en"]
 
 _PAIR = "\u0001"
+_END = "end of answer 7f3a91"
 
 
 def keyword_body(content: Column) -> Column:
@@ -27,6 +28,19 @@ def topic_body(content: Column) -> Column:
     return F.when(F.contains(text, F.lit(FENCE)), fenced).otherwise(text)
 
 
+def parse_json(text: Column) -> Column:
+    """JSON text -> variant; NULL if the text is anything but one JSON value.
+
+    The parser stops at the end of the first value and would let trailing text
+    pass.  So the text becomes the first element of a two-element array: with
+    anything behind the value, the array breaks or has another size.
+    """
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    pair = framed.try_cast("array<variant>")
+    whole = (F.size(pair) == 2) & ~F.contains(text, F.lit(_END))
+    return F.when(whole, pair[0])
+
+
 def json_items(parsed: Column) -> Column:
     """The elements of a JSON array; anything else has none."""
     return F.coalesce(parsed.try_cast("array<variant>"), F.array().cast("array<variant>"))
@@ -54,21 +68,15 @@ def clean_items(parsed: Column) -> Column:
     return F.transform(
         kept,
         lambda p: F.struct(
-            F.substring_index(p, _PAIR, -1).alias("keyword"),
+            F.substring(p, F.instr(p, _PAIR) + 1, F.length(p)).alias("keyword"),
             F.substring_index(p, _PAIR, 1).alias("language"),
         ),
     )
 
 
 def topic_list(parsed: Column) -> Column:
-    """``topics`` of a topic answer as ``array<string>``.
-
-    Absent topics are no topics; NULL means the answer is no JSON object or its
-    ``topics`` are no array.
-    """
+    """``topics`` of a topic answer as ``array<string>``; NULL if there is no such list."""
     field = F.try_variant_get(parsed, "$.topics", "variant")
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    texts = F.transform(
+    return F.transform(
         field.try_cast("array<variant>"), lambda t: F.try_variant_get(t, "$", "string")
     )
-    return F.when(is_object & field.isNull(), F.array().cast("array<string>")).when(is_object, texts)

@@ -17,32 +17,32 @@ NOT_WORD = r"[^\p{L}\p{N}_]"
 # Lower-case letters that Unicode case folding treats as another
 # lower-case letter, each followed by the letter it stands for.
 SAME_LETTER = {
-    "ı": "i",
-    "ſ": "s",
-    "µ": "μ",
-    "ͅ": "ι",
-    "ι": "ι",
-    "ΐ": "ΐ",
-    "ΰ": "ΰ",
-    "ϐ": "β",
-    "ϵ": "ε",
-    "ϑ": "θ",
-    "ϰ": "κ",
-    "ϖ": "π",
-    "ϱ": "ρ",
-    "ς": "σ",
-    "ϕ": "φ",
-    "ᲀ": "в",
-    "ᲁ": "д",
-    "ᲂ": "о",
-    "ᲃ": "с",
-    "ᲄ": "т",
-    "ᲅ": "т",
-    "ᲆ": "ъ",
-    "ᲇ": "ѣ",
-    "ᲈ": "ꙋ",
-    "ẛ": "ṡ",
-    "ﬅ": "ﬆ",
+    "\u0131": "i",
+    "\u017f": "s",
+    "\u00b5": "\u03bc",
+    "\u0345": "\u03b9",
+    "\u1fbe": "\u03b9",
+    "\u1fd3": "\u0390",
+    "\u1fe3": "\u03b0",
+    "\u03d0": "\u03b2",
+    "\u03f5": "\u03b5",
+    "\u03d1": "\u03b8",
+    "\u03f0": "\u03ba",
+    "\u03d6": "\u03c0",
+    "\u03f1": "\u03c1",
+    "\u03c2": "\u03c3",
+    "\u03d5": "\u03c6",
+    "\u1c80": "\u0432",
+    "\u1c81": "\u0434",
+    "\u1c82": "\u043e",
+    "\u1c83": "\u0441",
+    "\u1c84": "\u0442",
+    "\u1c85": "\u0442",
+    "\u1c86": "\u044a",
+    "\u1c87": "\u0463",
+    "\u1c88": "\ua64b",
+    "\u1e9b": "\u1e61",
+    "\ufb05": "\ufb06",
 }
 
 # Word endings that decide the plural.

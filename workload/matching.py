@@ -15,10 +15,11 @@ from workload.inputs import table, union, with_sql
 from workload.registry import query
 
 # Whole-word test in DuckDB's regular expressions.
-_HOLDS = r"""contains(lower(p.text), lower(k.keyword)) AND regexp_matches(lower(p.text),
+_HOLDS = r"""CASE WHEN contains(lower(p.text), lower(k.keyword)) THEN regexp_matches(lower(p.text),
     (CASE WHEN regexp_matches(k.keyword, '^[\p{L}\p{N}_]') THEN '(^|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END)
     || regexp_escape(lower(k.keyword)) ||
-    (CASE WHEN regexp_matches(k.keyword, '[\p{L}\p{N}_]$') THEN '($|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END))"""
+    (CASE WHEN regexp_matches(k.keyword, '[\p{L}\p{N}_]$') THEN '($|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END))
+    ELSE false END"""
 
 _ALL_KEYWORDS = "all_keywords AS (SELECT * FROM watched UNION ALL SELECT * FROM phrases)"
 _PAIRS = f"""pairs AS (SELECT p.external_id, k.id AS keyword_id, k.language, k.category, k.keyword

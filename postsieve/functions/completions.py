@@ -1,9 +1,11 @@
 """Model answers as Column expressions: fences, JSON, keyword items."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postsieve.functions.text import normalize_keyword, normalize_language, strip
+from postsieve.functions.text import bind, normalize_keyword, normalize_language, strip
 
 # Fixed values.
 FENCE = "```"
@@ -13,19 +15,24 @@ _PAIR = "\u0001"
 _END = "end of answer 7f3a91"
 
 
+def _body(content: Column, clean_fenced: Callable[[Column], Column]) -> Column:
+    return bind(
+        strip(content),
+        lambda text: F.when(
+            F.contains(text, F.lit(FENCE)), strip(clean_fenced(F.split(text, FENCE, -1)[1]))
+        ).otherwise(text),
+    )
+
+
 def keyword_body(content: Column) -> Column:
     """The JSON text of a keyword answer: the fenced part, if there is a fence,
     without one leading ``json``."""
-    text = strip(content)
-    fenced = strip(F.regexp_replace(F.split(text, FENCE, -1)[1], "^json", ""))
-    return F.when(F.contains(text, F.lit(FENCE)), fenced).otherwise(text)
+    return _body(content, lambda fenced: F.regexp_replace(fenced, "^json", ""))
 
 
 def topic_body(content: Column) -> Column:
     """The JSON text of a topic answer; here every ``json`` in the fence goes."""
-    text = strip(content)
-    fenced = strip(F.replace(F.split(text, FENCE, -1)[1], F.lit("json"), F.lit("")))
-    return F.when(F.contains(text, F.lit(FENCE)), fenced).otherwise(text)
+    return _body(content, lambda fenced: F.replace(fenced, F.lit("json"), F.lit("")))
 
 
 def parse_json(text: Column) -> Column:
@@ -36,14 +43,9 @@ def parse_json(text: Column) -> Column:
     anything behind the value, the array breaks or has another size.
     """
     framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
-    pair = framed.try_cast("array<variant>")
-    whole = (F.size(pair) == 2) & ~F.contains(text, F.lit(_END))
-    return F.when(whole, pair[0])
-
-
-def json_items(parsed: Column) -> Column:
-    """The elements of a JSON array; anything else has none."""
-    return F.coalesce(parsed.try_cast("array<variant>"), F.array().cast("array<variant>"))
+    return bind(
+        framed.try_cast("array<variant>"), lambda pair: F.when(F.size(pair) == 2, pair[0])
+    )
 
 
 def clean_items(parsed: Column) -> Column:
@@ -56,7 +58,7 @@ def clean_items(parsed: Column) -> Column:
     # One text per pair: distinct on text hashes, distinct on structs compares
     # every element with every other.
     pairs = F.transform(
-        json_items(parsed),
+        F.coalesce(parsed.try_cast("array<variant>"), F.array().cast("array<variant>")),
         lambda item: F.concat(
             normalize_language(F.try_variant_get(item, "$.language", "string")),
             F.lit(_PAIR),

@@ -1,5 +1,7 @@
 """Text as Column expressions: normalising, folding, words and word patterns."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,15 @@ PLURAL_ES_EN = r"(s|x|z|ch|sh)$"
 PLURAL_SAME_FR = r"(s|x|z)$"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once.
+
+    A Column that occurs several times in an expression may be computed as often;
+    the variable of a lambda is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
     return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
@@ -103,15 +114,6 @@ def word_pattern(keyword: Column) -> Column:
     return F.concat(F.lit("(?iu)"), left, F.lit("\\Q"), quoted, F.lit("\\E"), right)
 
 
-def has_word(text: Column, keyword: Column) -> Column:
-    """Whether ``keyword`` occurs in ``text`` as a whole word.
-
-    The plain substring test comes first: it is cheap and rejects most rows.
-    """
-    folded_text, folded_keyword = fold(text), fold(keyword)
-    return F.contains(folded_text, folded_keyword) & F.rlike(folded_text, word_pattern(folded_keyword))
-
-
 def plural(keyword: Column, language: Column) -> Column:
     lang = F.lower(language)
     return (

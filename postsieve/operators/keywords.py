@@ -10,7 +10,7 @@ from postsieve.functions.completions import (
     topic_body,
     topic_list,
 )
-from postsieve.functions.text import plural, strip
+from postsieve.functions.text import bind, plural, strip
 from postsieve.operators.numbering import dense_ids
 
 MIN_KEYWORD_LENGTH = 3
@@ -47,8 +47,9 @@ def prompt_table(topics: DataFrame, n_keywords: int, template: str = PROMPT) ->
 
 def parse_topics(answers: DataFrame) -> DataFrame:
     """``model, content`` -> ``model, topics``; NULL where the answer is unusable."""
-    parsed = answers.select("model", parse_json(topic_body(F.col("content"))).alias("_json"))
-    return parsed.select("model", topic_list(F.col("_json")).alias("topics"))
+    return answers.select(
+        "model", topic_list(parse_json(topic_body(F.col("content")))).alias("topics")
+    )
 
 
 def topic_fallback(queries: DataFrame, answers: DataFrame) -> DataFrame:
@@ -71,14 +72,23 @@ def topic_fallback(queries: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def parse_completions(completions: DataFrame) -> DataFrame:
-    """Add ``body`` (the JSON text), ``is_valid`` and the clean ``keywords``."""
-    return (
-        completions.withColumn("body", keyword_body(F.col("content")))
-        .withColumn("_json", parse_json(F.col("body")))
-        .withColumn("is_valid", F.col("_json").isNotNull())
-        .withColumn("keywords", clean_items(F.col("_json")))
-        .drop("_json")
+    """Add ``body`` (the JSON text), ``is_valid`` and the clean ``keywords``.
+
+    Each answer is unwrapped and parsed once: filters on the result stay above the
+    generator and cannot repeat the work.
+    """
+    answer = bind(
+        keyword_body(F.col("content")),
+        lambda body: bind(
+            parse_json(body),
+            lambda parsed: F.struct(
+                body.alias("body"),
+                parsed.isNotNull().alias("is_valid"),
+                clean_items(parsed).alias("keywords"),
+            ),
+        ),
     )
+    return completions.select("*", F.inline(F.array(answer)))
 
 
 def generation_results(completions: DataFrame) -> DataFrame:
@@ -88,9 +98,9 @@ def generation_results(completions: DataFrame) -> DataFrame:
 
 def clean_keywords(completions: DataFrame) -> DataFrame:
     """One row per clean keyword, in order within its answer."""
-    results = generation_results(completions)
-    rest = [c for c in results.columns if c != "keywords"]
-    return results.select(*rest, F.posexplode("keywords").alias("pos", "item")).select(
+    rest = [c for c in completions.columns if c != "content"]
+    items = clean_items(parse_json(keyword_body(F.col("content"))))
+    return completions.select(*rest, F.posexplode(items).alias("pos", "item")).select(
         *rest, "pos", "item.keyword", "item.language"
     )
 

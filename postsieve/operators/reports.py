@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsieve.functions.text import fold, word_pattern
+from postsieve.functions.text import bind, fold, word_pattern
 from postsieve.operators.numbering import running_sum
 
 
@@ -28,8 +28,12 @@ def head_n(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
 
 def filter_word(posts: DataFrame, keyword: str, text_col: str = "content") -> DataFrame:
     """Posts that hold one given keyword as a whole word."""
-    text, word = fold(F.col(text_col)), fold(F.lit(keyword))
-    return posts.filter(F.contains(text, word) & F.rlike(text, word_pattern(word)))
+    word = fold(F.lit(keyword))
+    found = bind(
+        fold(F.col(text_col)),
+        lambda text: F.contains(text, word) & F.rlike(text, word_pattern(word)),
+    )
+    return posts.filter(found)
 
 
 def keyword_counts(keywords: DataFrame, candidates: DataFrame, matched: DataFrame) -> DataFrame:

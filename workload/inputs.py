@@ -92,11 +92,11 @@ CTES = {
                    CAST(l_partkey AS VARCHAR) AS external_id, p_name AS text
             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)""",
     "phrases": """phrases AS (
-            SELECT DISTINCT 1000 + dense_rank() OVER (ORDER BY phrase) AS id, 'benchmark' AS category,
-                   phrase AS keyword, 'en' AS language
-            FROM (SELECT DISTINCT trim(s) AS phrase
-                  FROM (SELECT unnest(string_split(text, '.')) AS s FROM benchmark))
-            WHERE phrase != '')""",
+        SELECT min(1000 + item_id * 1000 + pos) AS id, 'benchmark' AS category, phrase AS keyword, 'en' AS language
+        FROM (SELECT item_id, trim(s) AS phrase, pos
+              FROM (SELECT item_id, unnest(list) AS s, unnest(range(len(list))) AS pos
+                    FROM (SELECT item_id, string_split(text, '.') AS list FROM benchmark)))
+        WHERE phrase != '' GROUP BY phrase)""",
     "seen": "seen AS (SELECT CAST(doc_id AS VARCHAR) AS external_id FROM labels)",
 }
 
@@ -155,17 +155,14 @@ def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """benchmark: every sentence as a long keyword."""
-    from postsieve.operators.numbering import dense_ids
-
-    sentences = (
-        spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-        .select(F.explode(F.split("text", r"\.")).alias("sentence"))
-        .select(F.trim("sentence").alias("keyword"))
-        .filter("keyword != ''")
-        .distinct()
+    sentences = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(
+        "item_id", F.posexplode(F.split("text", r"\.")).alias("pos", "sentence")
     )
-    return dense_ids(sentences, ["keyword"], 1001).select(
-        "id", F.lit("benchmark").alias("category"), "keyword", F.lit("en").alias("language")
+    return (
+        sentences.groupBy(F.trim("sentence").alias("keyword"))
+        .agg(F.min(F.lit(1000) + F.col("item_id") * 1000 + F.col("pos")).alias("id"))
+        .filter("keyword != ''")
+        .select("id", F.lit("benchmark").alias("category"), "keyword", F.lit("en").alias("language"))
     )
 
 

@@ -47,6 +47,9 @@ SAME_LETTER = {
     "\ufb05": "\ufb06",
 }
 
+# All of them lie beyond ASCII; the range makes the search skip ASCII at once.
+_SAME_LETTER_SEARCH = r"[\x{80}-\x{ffff}&&[" + "".join(SAME_LETTER) + "]]"
+
 # Word endings that decide the plural.
 PLURAL_ES_EN = r"(s|x|z|ch|sh)$"
 PLURAL_SAME_FR = r"(s|x|z)$"
@@ -89,7 +92,7 @@ def fold(text: Column) -> Column:
     """
     low = post_text(text)
     folded = F.translate(low, "".join(SAME_LETTER), "".join(SAME_LETTER.values()))
-    return F.when(low.rlike("[" + "".join(SAME_LETTER) + "]"), folded).otherwise(low)
+    return F.when(low.rlike(_SAME_LETTER_SEARCH), folded).otherwise(low)
 
 
 def words(text: Column) -> Column:

@@ -5,15 +5,12 @@ from pyspark.sql import functions as F
 
 from postsieve.session import ensure_checkpoint_dir
 
-_PARTITIONS = 64
-
 
 def running_sum(
     df: DataFrame,
     order: list[str],
     value: str,
     output: str = "running_total",
-    partitions: int = _PARTITIONS,
 ) -> DataFrame:
     """Sum of ``value`` up to and including each row, in ``order`` (unique).
 
@@ -21,14 +18,16 @@ def running_sum(
     checkpoint.  One sum per partition gives the offset of the next ones; within
     its partition each row adds its own running sum.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
         df.repartitionByRange(partitions, *order)
         .withColumn("_part", F.spark_partition_id())
         .checkpoint()
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``partitions`` rows, so the unpartitioned window is safe here.
+    # One row per partition, so the unpartitioned window is safe here.
     offsets = (
         placed.groupBy("_part")
         .agg(F.sum(value).alias("_sum"))

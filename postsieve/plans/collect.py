@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from postsieve.functions.records import post_record
 from postsieve.operators.arrivals import ARRIVAL, first_arrival, match_first_seen
 from postsieve.operators.match import match_all
-from postsieve.operators.upsert import bridge_rows
 from postsieve.schemas import COUNTS, POSTS
 
 
@@ -16,38 +15,33 @@ class Collected(NamedTuple):
     posts: DataFrame
     """Matched post records with ``language`` and ``keyword_ids``."""
     seen: DataFrame
-    """Ids of all new candidates, matched or not."""
+    """Ids of all candidates that were tested, matched or not."""
 
-    def links(self) -> DataFrame:
-        return bridge_rows(self.posts)
+
+def one_per_id(candidates: DataFrame) -> DataFrame:
+    """The first arrival of each id, by the arrival columns that are there."""
+    order = [c for c in ["feed_seq", *ARRIVAL] if c in candidates.columns]
+    return first_arrival(candidates, order=order)
 
 
-def collect_all(new_posts: DataFrame, keywords: DataFrame) -> Collected:
-    """Test every new post with every keyword.
+def collect_all(unseen: DataFrame, keywords: DataFrame) -> Collected:
+    """Test every unseen post with every keyword.
 
-    ``new_posts`` holds one row per unseen id.  Texts are matched as they are read;
-    only matching posts, in record form, take part in the grouping.
+    Repeats are reduced to the first arrival, which places the posts by id; the
+    match and its grouping then go on in the same partitions.
     """
     carry = ["text", "created_at", *COUNTS, "labels", "embed"]
-    matched = match_all(new_posts, keywords, text_col="text", carry=carry)
+    matched = match_all(one_per_id(unseen), keywords, text_col="text", carry=carry)
     record = post_record(matched).select(*POSTS.names, "keyword_ids")
-    return Collected(record, new_posts.select("external_id"))
+    return Collected(record, unseen.select("external_id").distinct())
 
 
-def collect_first_seen(new_candidates: DataFrame, keywords: DataFrame) -> Collected:
-    """Test every new post only with the keyword that delivered it first.
+def collect_first_seen(unseen: DataFrame, keywords: DataFrame) -> Collected:
+    """Test every unseen post only with the keyword that delivered it first.
 
     Candidates of a keyword that is not stored count as not delivered.
     """
-    known = new_candidates.join(
-        keywords.select(F.col("id").alias("keyword_id")), "keyword_id", "left_semi"
-    )
+    known = unseen.join(keywords.select(F.col("id").alias("keyword_id")), "keyword_id", "left_semi")
     matched = match_first_seen(known, keywords)
     record = post_record(matched.withColumn("keyword_ids", F.array("keyword_id")))
     return Collected(record.select(*POSTS.names, "keyword_ids"), known.select("external_id").distinct())
-
-
-def one_per_id(candidates: DataFrame) -> DataFrame:
-    """The first arrival of each id, by the arrival columns that are there."""
-    order = [c for c in ["feed_seq", *ARRIVAL] if c in candidates.columns]
-    return first_arrival(candidates, order=order)

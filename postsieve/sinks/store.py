@@ -7,6 +7,8 @@ Seen ids and post-keyword links are inserted only if no earlier batch holds them
 One writer at a time.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,5 +101,6 @@ class Store:
 
     def newest_run(self) -> int:
         """The highest run that wrote anything, -1 for none."""
-        runs = [self.versions(t).agg(F.max("run")).first()[0] for t in BATCH_TABLES]
-        return max((r for r in runs if r is not None), default=-1)
+        runs = [self.versions(t).agg(F.max("run").alias("run")) for t in BATCH_TABLES]
+        newest = reduce(lambda a, b: a.union(b), runs).agg(F.max("run")).first()[0]
+        return -1 if newest is None else newest

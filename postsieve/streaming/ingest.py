@@ -4,7 +4,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from postsieve.operators.arrivals import anti_seen_batch
-from postsieve.plans.collect import Collected, collect_all, collect_first_seen, one_per_id
+from postsieve.operators.upsert import bridge_rows
+from postsieve.plans.collect import collect_all, collect_first_seen
 from postsieve.session import path_exists
 from postsieve.sinks.store import Store
 
@@ -35,18 +36,17 @@ def write_batch(
     """Collect one batch of candidates and store it; returns the rows written.
 
     Posts first, seen ids last: a batch that breaks off in between is done again
-    and overwrites its own partitions.
+    and overwrites its own partitions.  Only unseen ids come this far, so links and
+    ids are new and need no second look at the stored ones.
     """
-    if mode == "all":
-        candidates = one_per_id(candidates)
-    new = anti_seen_batch(candidates, store.before("scanned_posts", run, epoch))
-    collected: Collected = MODES[mode](new, keywords)
+    unseen = anti_seen_batch(candidates, store.before("scanned_posts", run, epoch))
+    collected = MODES[mode](unseen, keywords)
     matched = collected.posts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {
             "posts": store.upsert_posts(matched, run, epoch),
-            "post_keywords": store.insert_links(Collected(matched, new).links(), run, epoch),
-            "scanned_posts": store.insert_seen(collected.seen, run, epoch),
+            "post_keywords": store.append("post_keywords", bridge_rows(matched), run, epoch),
+            "scanned_posts": store.append("scanned_posts", collected.seen, run, epoch),
         }
     finally:
         matched.unpersist()
@@ -75,6 +75,8 @@ def ingest_posts(
     def page(batch: DataFrame, epoch: int) -> None:
         written.append(write_batch(batch, keywords, store, run, epoch, mode))
 
+    if dedup_state and mode != "all":
+        raise ValueError("dedup_state keeps any copy of a repeated id; first_seen needs the first")
     stream = candidates.dropDuplicates(["external_id"]) if dedup_state else candidates
     query = (
         stream.writeStream.foreachBatch(page)

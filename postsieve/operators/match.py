@@ -16,13 +16,15 @@ from postsieve.operators.sizing import BROADCAST_CHARS, BROADCAST_ROWS
 
 _SALTS = 16
 
+# From this many keywords with the same anchor on, other anchors are looked for.
+_CROWDED = 64
 
-def prepare_keywords(keywords: DataFrame, token_counts: DataFrame | None = None) -> DataFrame:
+
+def prepare_keywords(keywords: DataFrame) -> DataFrame:
     """Add the compared form, the anchor and the pattern of each keyword.
 
     Needs ``id, keyword, language``; ``kw_seq`` (default: id) and ``variant_seq``
-    (default: 0) give the keyword order.  The anchor is the longest word, or, with
-    ``token_counts(token, n)``, the one that the fewest texts contain.
+    (default: 0) give the keyword order.  The anchor is the longest word.
     """
     columns = keywords.columns
     prepared = keywords.select(
@@ -32,29 +34,43 @@ def prepare_keywords(keywords: DataFrame, token_counts: DataFrame | None = None)
         (F.col("variant_seq") if "variant_seq" in columns else F.lit(0)).alias("variant_seq"),
         fold(F.col("keyword")).alias("folded"),
     ).filter(F.col("folded") != "")
-    runs = F.regexp_extract_all("folded", F.lit(f"{WORD}+"), F.lit(0))
-    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))
-    if token_counts is None:
-        anchored = prepared.withColumn("anchor", longest["run"])
-    else:
-        rarest = (
-            prepared.select("folded", F.explode(F.array_distinct(runs)).alias("token"))
-            .distinct()
-            .join(token_counts, "token", "left")
-            .groupBy("folded")
-            .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("best"))
-            .select("folded", F.col("best.token").alias("anchor"))
-        )
-        anchored = prepared.join(rarest, "folded", "left")
-    return anchored.select(
-        *prepared.columns,
-        F.coalesce("anchor", "folded").alias("anchor"),
+    by_length = F.transform(_runs(), lambda r: F.struct(F.length(r).alias("n"), r.alias("run")))
+    return _anchored(prepared.withColumn("anchor", F.array_max(by_length)["run"]))
+
+
+def _runs() -> Column:
+    return F.regexp_extract_all("folded", F.lit(f"{WORD}+"), F.lit(0))
+
+
+def _anchored(prepared: DataFrame) -> DataFrame:
+    rest = [c for c in prepared.columns if c not in ("anchor", "is_gap", "is_proven", "pattern")]
+    anchor = F.coalesce("anchor", "folded")
+    return prepared.select(
+        *rest,
+        anchor.alias("anchor"),
         F.col("anchor").isNull().alias("is_gap"),
-        (F.coalesce("anchor", "folded") == F.col("folded")).alias("is_proven"),
+        (anchor == F.col("folded")).alias("is_proven"),
         word_pattern(F.col("folded")).alias("pattern"),
     )
 
 
+def spread_anchors(prepared: DataFrame) -> DataFrame:
+    """Anchor each keyword at the word that the fewest keywords contain.
+
+    If a third of all keywords begin with the same long word, a text with that
+    word would have to be compared with all of them.
+    """
+    words_of = prepared.select("folded", F.explode(F.array_distinct(_runs())).alias("run")).distinct()
+    counts = words_of.groupBy("run").agg(F.count("*").alias("n"))
+    rarest = (
+        words_of.join(counts, "run")
+        .groupBy("folded")
+        .agg(F.min(F.struct("n", (-F.length("run")).alias("short"), "run")).alias("best"))
+        .select("folded", F.col("best.run").alias("anchor"))
+    )
+    return _anchored(prepared.drop("anchor").join(rarest, "folded", "left"))
+
+
 def _confirmed(text: Column) -> Column:
     """Proven by the anchor alone, or found in the text.  The substring test is
     cheap and keeps the pattern from most rows."""
@@ -76,7 +92,6 @@ def match_pairs(
     id_col: str = "external_id",
     text_col: str = "content",
     carry: list[str] | None = None,
-    token_counts: DataFrame | None = None,
     max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All (post, keyword) pairs with the keyword as a whole word in the post.
@@ -88,12 +103,24 @@ def match_pairs(
     ``_match_shuffled``; there ``id_col`` must be unique.
     """
     carry = carry or []
-    prepared = prepare_keywords(keywords, token_counts)
-    size = prepared.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum((F.octet_length("folded") * 3).cast("long")), F.lit(0)).alias("chars"),
-        F.coalesce(F.max("is_gap"), F.lit(False)).alias("gaps"),
-    ).first()
+    prepared = prepare_keywords(keywords)
+    size = (
+        prepared.groupBy("anchor", "is_proven")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum((F.octet_length("folded") * 3).cast("long")).alias("chars"),
+            F.max("is_gap").alias("gaps"),
+        )
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"),
+            F.coalesce(F.max("gaps"), F.lit(False)).alias("gaps"),
+            F.coalesce(F.max(F.when(~F.col("is_proven"), F.col("n"))), F.lit(0)).alias("crowd"),
+        )
+        .first()
+    )
+    if size.crowd >= _CROWDED:
+        prepared = spread_anchors(prepared)
     payload = [c for c in dict.fromkeys(carry) if c != id_col]
     texts = posts.select(id_col, *payload, fold(F.col(text_col)).alias("_text"))
     outcome = [id_col, *payload, "keyword_id", "kw_seq", "variant_seq", "language"]
@@ -115,30 +142,20 @@ def _match_shuffled(
 ) -> DataFrame:
     """The join for a keyword table of any size.
 
-    Only (id, word) pairs are shuffled, never texts.  A word that most texts
-    contain would land in one task, so words are salted by post id and keywords
-    copied once per salt.  Texts come back by id for the keywords that the anchor
-    does not prove, and the payload for the pairs that stand.
+    Words are shuffled as bare (id, word) pairs.  A word that most texts contain
+    would land in one task, so words are salted by post id and keywords copied
+    once per salt.  The pairs found meet the texts again by id, for the keywords
+    that the anchor does not prove; posts already placed by id stay in place.
     """
     salt = F.pmod(F.xxhash64(id_col), F.lit(_SALTS)).cast("int")
     tokens = texts.select(
         id_col, salt.alias("_salt"), F.explode(_tokens(F.col("_text"), with_gaps)).alias("anchor")
     )
     copies = prepared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    found = tokens.join(copies, ["anchor", "_salt"]).drop("_salt")
-    keep = ["keyword_id", "kw_seq", "variant_seq", "language"]
-    proven = found.filter("is_proven").select(id_col, *keep)
-    open_pairs = found.filter("not is_proven").select(id_col, *keep, "is_proven", "folded", "pattern")
-    confirmed = (
-        open_pairs.join(texts.select(id_col, "_text"), id_col)
-        .filter(_confirmed(F.col("_text")))
-        .select(id_col, *keep)
-    )
-    pairs = proven.unionByName(confirmed)
-    if not payload:
-        return pairs
-    rest = texts.select(id_col, *[c for c in payload if c != "language"])
-    return pairs.join(rest, id_col)
+    # Hashing the keywords spares sorting the many words.
+    found = tokens.join(copies.hint("shuffle_hash"), ["anchor", "_salt"])
+    rest = texts.select(id_col, "_text", *[c for c in payload if c != "language"])
+    return found.join(rest, id_col).filter(_confirmed(F.col("_text")))
 
 
 def match_all(

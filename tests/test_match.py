@@ -1,0 +1,108 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from postsieve.operators import match
+from tests.test_text import WORD_CASES, python_match
+
+WORDS = ["art", "caf", "café", "été", "real", "estate", "the", "c", "x", "l", "ai", "aimé", "²x", "art_x"]
+JOINS = [" ", " ", " ", "-", "\n", "'", ". ", "++", "#", "@", "  "]
+
+
+def random_text(rng, n):
+    return "".join(rng.choice(WORDS) + rng.choice(JOINS) for _ in range(n))
+
+
+def samples(seed):
+    rng = random.Random(seed)
+    posts = [(f"p{i}", random_text(rng, rng.randint(0, 12)).upper() if i % 3 else random_text(rng, 9)) for i in range(60)]
+    posts.append(("null", None))
+    keywords = [(i, random_text(rng, rng.randint(1, 3)).strip(), rng.choice(["en", "fr"])) for i in range(60)]
+    keywords += [(100, "++", "en"), (101, "@", "en"), (102, "#art", "en"), (103, "C++", "en"), (104, "'", "fr")]
+    return posts, keywords
+
+
+def python_pairs(posts, keywords):
+    return {(p, k) for p, t in posts for k, w, _ in keywords if python_match(w, t or "")}
+
+
+def frames(spark, posts, keywords):
+    return (
+        spark.createDataFrame(posts, "external_id string, content string").repartition(5),
+        spark.createDataFrame(keywords, "id int, keyword string, language string").repartition(3),
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("way", ["broadcast", "shuffled", "spread anchors"])
+def test_match_pairs_equals_python(spark, monkeypatch, seed, way):
+    posts, keywords = samples(seed)
+    options = {"max_broadcast_rows": 0} if way == "shuffled" else {}
+    if way == "spread anchors":
+        monkeypatch.setattr(match, "_CROWDED", 1)
+    rows = match.match_pairs(*frames(spark, posts, keywords), **options).collect()
+    got = [(r.external_id, r.keyword_id) for r in rows]
+    assert len(got) == len(set(got))
+    assert set(got) == python_pairs(posts, keywords)
+
+
+def test_word_cases_through_the_join(spark):
+    posts = [(str(i), text) for i, (_, text, _) in enumerate(WORD_CASES)]
+    keywords = [(i, keyword, "en") for i, (keyword, _, _) in enumerate(WORD_CASES)]
+    rows = match.match_pairs(*frames(spark, posts, keywords)).collect()
+    own = {r.keyword_id for r in rows if int(r.external_id) == r.keyword_id}
+    assert own == {i for i, case in enumerate(WORD_CASES) if case[2]}
+
+
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_rows": 0}])
+def test_match_all(spark, options):
+    posts, keywords = samples(4)
+    pairs = python_pairs(posts, keywords)
+    language = {k: lang for k, _, lang in keywords}
+    want = {}
+    for post, _ in posts:
+        ids = sorted(k for p, k in pairs if p == post)
+        if ids:
+            want[post] = (ids, language[ids[0]])
+    p, k = frames(spark, posts, keywords)
+    p = p.withColumn("likes", F.length("content"))
+    rows = match.match_all(p, k, carry=["content", "likes"], **options).collect()
+    assert {r.external_id: (r.keyword_ids, r.language) for r in rows} == want
+    assert {r.external_id: r.content for r in rows} == {p: t for p, t in posts if p in want}
+
+
+def test_language_follows_keyword_order(spark):
+    posts = spark.createDataFrame([("p", "one two")], "external_id string, content string")
+    keywords = spark.createDataFrame(
+        [(1, "two", "fr", 9, 0), (2, "one", "en", 3, 1), (2, "two", "de", 3, 0)],
+        "id int, keyword string, language string, kw_seq int, variant_seq int",
+    )
+    row = match.match_all(posts, keywords).first()
+    assert (row.keyword_ids, row.language) == ([1, 2], "de")
+
+
+def test_crowded_anchors_are_spread(spark):
+    keywords = spark.createDataFrame(
+        [(i, f"international w{i}", "en") for i in range(200)], "id int, keyword string, language string"
+    )
+    anchors = match.spread_anchors(match.prepare_keywords(keywords))
+    assert anchors.groupBy("anchor").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_broadcast_way_has_no_shuffle_of_texts(spark):
+    posts, keywords = frames(spark, *samples(5))
+    posts.write.mode("overwrite").format("noop").save()
+    plan = match.match_pairs(posts, keywords)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning(external_id" not in plan
+    assert not re.search("CartesianProduct|NestedLoop", plan)
+
+
+def test_keyword_lookup(spark):
+    keywords = spark.createDataFrame(
+        [(5, "art", "fr"), (2, "art", "en"), (3, "law", "en")], "id int, keyword string, language string"
+    )
+    targets = spark.createDataFrame([("art",), ("none",)], "keyword string")
+    assert [tuple(r) for r in match.keyword_lookup(targets, keywords).collect()] == [("art", 2, "en")]

@@ -101,8 +101,8 @@ def words(text: Column) -> Column:
 
 
 def gaps(text: Column) -> Column:
-    """The runs of other characters that stand between two words."""
-    return F.regexp_extract_all(text, F.lit(f"(?<={WORD}){NOT_WORD}+(?={WORD})"), F.lit(0))
+    """The runs of other characters between the words and at the edges."""
+    return F.split(text, f"{WORD}+")
 
 
 def word_pattern(keyword: Column) -> Column:

@@ -80,16 +80,30 @@ def sql_values(rows: list[tuple]) -> str:
     )
 
 
+def marked(text: str) -> str:
+    """SQL: the lower-cased text with a mark on both sides of every word."""
+    return rf"regexp_replace(lower({text}), '([\p{{L}}\p{{N}}_]+)', chr(1) || '\1' || chr(1), 'g')"
+
+
+# A keyword is there as a whole word if the marked text contains it marked, with
+# a mark at either end.
+WITH_MARKS = f"""CASE WHEN starts_with({marked('keyword')}, chr(1)) THEN '' ELSE chr(1) END || {marked('keyword')}
+    || CASE WHEN ends_with({marked('keyword')}, chr(1)) THEN '' ELSE chr(1) END"""
+HOLDS = "contains(p.marked, k.marked)"
+
 CTES = {
     "watched": f"watched(id, category, keyword, language) AS (VALUES {sql_values(WATCHED)})",
-    "feed_words": f"feed_words(id, keyword, language) AS (VALUES {sql_values(FEED_WORDS)})",
-    "posts": "posts AS (SELECT CAST(doc_id AS VARCHAR) AS external_id, text, lang, source FROM documents)",
-    "turns": """turns AS (SELECT CAST(conv_id AS VARCHAR) AS external_id, turn AS pos, text
+    "feed_words": f"""words(id, keyword, language) AS (VALUES {sql_values(FEED_WORDS)}),
+        feed_words AS (SELECT *, {WITH_MARKS} AS marked FROM words)""",
+    "posts": f"""posts AS MATERIALIZED (SELECT CAST(doc_id AS VARCHAR) AS external_id, text, lang, source,
+        {marked('text')} AS marked FROM documents)""",
+    "turns": f"""turns AS MATERIALIZED (SELECT CAST(conv_id AS VARCHAR) AS external_id, turn AS pos, text,
+               {marked('text')} AS marked
                     FROM conversations)""",
-    "candidates": """candidates AS (
+    "candidates": f"""candidates AS (
             SELECT CAST(s_nationkey AS BIGINT) AS keyword_id, CAST(s_nationkey AS BIGINT) AS kw_seq,
                    l_orderkey AS page, CAST(l_linenumber AS BIGINT) AS pos,
-                   CAST(l_partkey AS VARCHAR) AS external_id, p_name AS text
+                   CAST(l_partkey AS VARCHAR) AS external_id, {marked('p_name')} AS marked
             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)""",
     "phrases": """phrases AS (
         SELECT min(1000 + item_id * 1000 + pos) AS id, 'benchmark' AS category, phrase AS keyword, 'en' AS language

@@ -11,19 +11,13 @@ from postsieve.functions.text import (
 )
 from postsieve.operators import arrivals, match, reports, upsert
 from workload import inputs
-from workload.inputs import table, union, with_sql
+from workload.inputs import HOLDS, WITH_MARKS, table, union, with_sql
 from workload.registry import query
 
-# Whole-word test in DuckDB's regular expressions.
-_HOLDS = r"""CASE WHEN contains(lower(p.text), lower(k.keyword)) THEN regexp_matches(lower(p.text),
-    (CASE WHEN regexp_matches(k.keyword, '^[\p{L}\p{N}_]') THEN '(^|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END)
-    || regexp_escape(lower(k.keyword)) ||
-    (CASE WHEN regexp_matches(k.keyword, '[\p{L}\p{N}_]$') THEN '($|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END))
-    ELSE false END"""
-
-_ALL_KEYWORDS = "all_keywords AS (SELECT * FROM watched UNION ALL SELECT * FROM phrases)"
+_ALL_KEYWORDS = f"""all_keywords AS (SELECT *, {WITH_MARKS} AS marked FROM (
+    SELECT * FROM watched UNION ALL SELECT * FROM phrases))"""
 _PAIRS = f"""pairs AS (SELECT p.external_id, k.id AS keyword_id, k.language, k.category, k.keyword
-             FROM posts p, all_keywords k WHERE {_HOLDS})"""
+             FROM posts p, all_keywords k WHERE {HOLDS})"""
 _MATCH = f"{with_sql('watched', 'phrases', 'posts')}, {_ALL_KEYWORDS}, {_PAIRS}"
 
 
@@ -201,7 +195,7 @@ _FIRST = """first AS (SELECT * FROM candidates
     QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY kw_seq, page, pos) = 1)"""
 _FIRST_HITS = f"""{_FIRST}, hits AS (
     SELECT p.external_id, p.keyword_id, k.language FROM first p JOIN feed_words k ON p.keyword_id = k.id
-    WHERE {_HOLDS} AND p.external_id NOT IN (SELECT external_id FROM seen))"""
+    WHERE {HOLDS} AND p.external_id NOT IN (SELECT external_id FROM seen))"""
 
 
 def _first_seen(spark, sf_dir):
@@ -342,9 +336,9 @@ def posts_by_category(spark, sf_dir):
 
 @query(
     "bridge_insert",
-    f"""{with_sql('watched', 'posts', 'turns')}, all_keywords AS (SELECT * FROM watched),
-        both_feeds AS (SELECT external_id, text FROM posts UNION ALL SELECT external_id, text FROM turns)
-        SELECT DISTINCT p.external_id, k.id AS keyword_id FROM both_feeds p, all_keywords k WHERE {_HOLDS}""",
+    f"""{with_sql('watched', 'posts', 'turns')}, all_keywords AS (SELECT *, {WITH_MARKS} AS marked FROM watched),
+        both_feeds AS (SELECT external_id, marked FROM posts UNION ALL SELECT external_id, marked FROM turns)
+        SELECT DISTINCT p.external_id, k.id AS keyword_id FROM both_feeds p, all_keywords k WHERE {HOLDS}""",
 )
 def bridge_insert(spark, sf_dir):
     """Links of the conversations are there; those of the documents come in."""

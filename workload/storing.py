@@ -13,8 +13,7 @@ from postsieve.sources import files
 from postsieve.sources.feeds import stream_candidates
 from postsieve.streaming.ingest import ingest_posts
 from workload import inputs
-from workload.inputs import table, with_sql
-from workload.matching import _HOLDS
+from workload.inputs import HOLDS, WITH_MARKS, table, with_sql
 from workload.registry import query
 
 
@@ -261,12 +260,12 @@ def _ingest(spark, sf_dir):
     return store
 
 
-_NEW_POSTS = f"""{with_sql('watched', 'posts', 'turns')}, all_keywords AS (SELECT * FROM watched),
-    arrived AS (SELECT external_id, text FROM turns
+_NEW_POSTS = f"""{with_sql('watched', 'posts', 'turns')}, all_keywords AS (SELECT *, {WITH_MARKS} AS marked FROM watched),
+    arrived AS MATERIALIZED (SELECT external_id, text, marked FROM turns
                 QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY pos) = 1
-                UNION ALL SELECT external_id, text FROM posts
+                UNION ALL SELECT external_id, text, marked FROM posts
                 WHERE external_id NOT IN (SELECT external_id FROM turns)),
-    pairs AS (SELECT p.external_id, p.text, k.id, k.language FROM arrived p, all_keywords k WHERE {_HOLDS})"""
+    pairs AS (SELECT p.external_id, p.text, k.id, k.language FROM arrived p, all_keywords k WHERE {HOLDS})"""
 
 
 @query("ingest_posts", f"""{_NEW_POSTS} SELECT external_id, lower(text) AS content, arg_min(language, id) AS language,

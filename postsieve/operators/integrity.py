@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve import schemas
+from postsieve.operators.sizing import fits_broadcast
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -15,8 +16,21 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return complete.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def unique_violations(table: str, df: DataFrame, key: list[str]) -> DataFrame:
-    return duplicate_keys(df, key).agg(F.count("*").alias("violations")).select(
+def unique_violations(
+    table: str, df: DataFrame, key: list[str], within: list[str] | None = None
+) -> DataFrame:
+    """Number of keys that occur more than once.
+
+    ``within`` names a part of the key that should be unique already: then only
+    rows that repeat that part are grouped, and the long rest of the key (a text)
+    is not shuffled for all the others.
+    """
+    rows = df
+    if within:
+        repeated = duplicate_keys(df, within).select(*within)
+        repeated = F.broadcast(repeated) if fits_broadcast(repeated) else repeated
+        rows = df.join(repeated, within, "left_semi")
+    return duplicate_keys(rows, key).agg(F.count("*").alias("violations")).select(
         F.lit(table).alias("table_name"),
         F.lit("unique").alias("rule"),
         F.lit(",".join(key)).alias("columns"),
@@ -27,7 +41,8 @@ def unique_violations(table: str, df: DataFrame, key: list[str]) -> DataFrame:
 def null_violations(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """One scan for all columns of the table."""
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
-    return counts.select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])).alias("columns", "violations")).select(
+    per_column = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c))])
+    return counts.select(F.explode(per_column).alias("columns", "violations")).select(
         F.lit(table).alias("table_name"), F.lit("not null").alias("rule"), "columns", "violations"
     )
 
@@ -57,7 +72,10 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations of every declared constraint of the given tables."""
     parts = []
     for table, df in tables.items():
-        parts += [unique_violations(table, df, key) for key in schemas.UNIQUE_KEYS[table]]
+        keys = schemas.UNIQUE_KEYS[table]
+        for key in keys:
+            within = next((k for k in keys if set(k) < set(key)), None)
+            parts.append(unique_violations(table, df, key, within))
         parts.append(null_violations(table, df, schemas.NOT_NULL[table]))
     for child, child_col, parent, parent_col in schemas.FOREIGN_KEYS:
         if child in tables and parent in tables:

@@ -131,6 +131,9 @@ def test_constraint_report(spark):
         ("post_keywords", "references keywords", "keyword_id"): 1,
     }
     assert len(report) == 21
+    twice = spark.createDataFrame([("p", "t"), ("p", "u"), ("q", "t"), ("q", "t")], "external_id string, content string")
+    report = {r.columns: r.violations for r in integrity.constraint_report({"posts": twice}).collect() if r.rule == "unique"}
+    assert report == {"external_id": 2, "external_id,content": 1}
     orphans = integrity.fk_orphans(tables["post_keywords"], "external_id", tables["posts"], "external_id")
     assert orphans.count() == 2
     kept = integrity.cascade_delete(tables["post_keywords"], tables["posts"].filter("external_id = 'p'"), "external_id")

@@ -67,7 +67,9 @@ FEED_WORDS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # Texts are worth spreading; for plain columns the shuffle costs more than it gains.
+    return spread(rows) if "text" in rows.columns else rows
 
 
 def union(*parts: DataFrame) -> DataFrame:

@@ -16,13 +16,17 @@ WHITESPACE = (
 WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 
+# The same for looking back.  The last code point, which no text holds, makes the
+# look-behind step over whole code points instead of halves of surrogate pairs.
+_WORD_BEHIND = "[\\p{L}\\p{N}_\U0010ffff]"
+
 # Lower-case letters that Unicode case folding treats as another
-# lower-case letter, each followed by the letter it stands for.
+# lower-case letter, each followed by the letter it stands for.  (The combining
+# iota U+0345 is left out: it is no word character, the iota is.)
 SAME_LETTER = {
     "\u0131": "i",
     "\u017f": "s",
     "\u00b5": "\u03bc",
-    "\u0345": "\u03b9",
     "\u1fbe": "\u03b9",
     "\u1fd3": "\u0390",
     "\u1fe3": "\u03b0",
@@ -112,7 +116,9 @@ def word_pattern(keyword: Column) -> Column:
     the keyword that is itself no word character needs a word next to it.
     """
     quoted = F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    left = F.when(keyword.rlike(f"^{WORD}"), F.lit(f"(?<!{WORD})")).otherwise(F.lit(f"(?<={WORD})"))
+    left = F.when(keyword.rlike(f"^{WORD}"), F.lit(f"(?<!{_WORD_BEHIND})")).otherwise(
+        F.lit(f"(?<={_WORD_BEHIND})")
+    )
     right = F.when(keyword.rlike(f"{WORD}\\z"), F.lit(f"(?!{WORD})")).otherwise(F.lit(f"(?={WORD})"))
     return F.concat(F.lit("(?iu)"), left, F.lit("\\Q"), quoted, F.lit("\\E"), right)
 

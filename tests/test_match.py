@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postsieve.operators import match
-from tests.test_text import WORD_CASES, python_match
+from tests.test_text import WORD_CASES, odd_text, python_match
 
 WORDS = ["art", "caf", "café", "été", "real", "estate", "the", "c", "x", "l", "ai", "aimé", "²x", "art_x"]
 JOINS = [" ", " ", " ", "-", "\n", "'", ". ", "++", "#", "@", "  "]
@@ -106,3 +106,12 @@ def test_keyword_lookup(spark):
     )
     targets = spark.createDataFrame([("art",), ("none",)], "keyword string")
     assert [tuple(r) for r in match.keyword_lookup(targets, keywords).collect()] == [("art", 2, "en")]
+
+
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_rows": 0}])
+def test_odd_texts_equal_python(spark, options):
+    rng = random.Random(7)
+    posts = [(f"p{i}", odd_text(rng, rng.randint(0, 40))) for i in range(500)]
+    keywords = [(i, odd_text(rng, rng.randint(1, 4)).lower(), "en") for i in range(120)]
+    rows = match.match_pairs(*frames(spark, posts, keywords), **options).collect()
+    assert {(r.external_id, r.keyword_id) for r in rows} == python_pairs(posts, keywords)

@@ -77,7 +77,8 @@ def filter_word(spark, sf_dir):
     r"""WITH k AS (SELECT url AS keyword FROM pages UNION SELECT p_brand FROM part
                    UNION SELECT '#' || p_name || '+' FROM part)
         SELECT keyword, '(?iu)' ||
-            (CASE WHEN regexp_matches(keyword, '^[\p{L}\p{N}_]') THEN '(?<![\p{L}\p{N}_])' ELSE '(?<=[\p{L}\p{N}_])' END)
+            (CASE WHEN regexp_matches(keyword, '^[\p{L}\p{N}_]') THEN '(?<!' ELSE '(?<=' END)
+            || '[\p{L}\p{N}_' || chr(1114111) || '])'
             || '\Q' || keyword || '\E' ||
             (CASE WHEN regexp_matches(keyword, '[\p{L}\p{N}_]$') THEN '(?![\p{L}\p{N}_])' ELSE '(?=[\p{L}\p{N}_])' END)
             AS pattern FROM k""",

@@ -18,17 +18,21 @@ def anti_seen(candidates: DataFrame, seen: DataFrame, key: str = "external_id")
     return candidates.join(seen.select(key), key, "left_anti")
 
 
-def anti_seen_batch(batch: DataFrame, seen: DataFrame, key: str = "external_id") -> DataFrame:
-    """``anti_seen`` for a small batch against a huge seen set.
+def seen_among(batch: DataFrame, seen: DataFrame, key: str = "external_id") -> DataFrame:
+    """The part of a huge seen set that concerns a small batch.
 
-    If the ids of the batch may be broadcast, the seen set is only scanned, not
-    shuffled: its rows are first reduced to those of the batch.
+    If the ids of the batch may be broadcast, the seen set is only scanned and cut
+    down to them; otherwise all of it has to be compared.
     """
     ids = batch.select(key).distinct()
     if not fits_broadcast(ids):
-        return anti_seen(batch, seen, key)
-    known = seen.select(key).join(F.broadcast(ids), key, "left_semi").distinct()
-    return batch.join(known, key, "left_anti")
+        return seen.select(key)
+    return seen.select(key).join(F.broadcast(ids), key, "left_semi").distinct()
+
+
+def anti_seen_batch(batch: DataFrame, seen: DataFrame, key: str = "external_id") -> DataFrame:
+    """``anti_seen`` for a small batch: the seen set is not shuffled."""
+    return anti_seen(batch, seen_among(batch, seen, key), key)
 
 
 def first_arrival(

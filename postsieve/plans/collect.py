@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions.records import post_record
-from postsieve.operators.arrivals import ARRIVAL, first_arrival, match_first_seen
+from postsieve.operators.arrivals import ARRIVAL, anti_seen, first_arrival, match_first_seen
 from postsieve.operators.match import match_all
 from postsieve.schemas import COUNTS, POSTS
 
@@ -15,7 +15,7 @@ class Collected(NamedTuple):
     posts: DataFrame
     """Matched post records with ``language`` and ``keyword_ids``."""
     seen: DataFrame
-    """Ids of all candidates that were tested, matched or not."""
+    """Ids of all new candidates, matched or not."""
 
 
 def one_per_id(candidates: DataFrame) -> DataFrame:
@@ -24,24 +24,31 @@ def one_per_id(candidates: DataFrame) -> DataFrame:
     return first_arrival(candidates, order=order)
 
 
-def collect_all(unseen: DataFrame, keywords: DataFrame) -> Collected:
+def _new_ids(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    return anti_seen(candidates.select("external_id").distinct(), seen)
+
+
+def collect_all(candidates: DataFrame, keywords: DataFrame, seen: DataFrame) -> Collected:
     """Test every unseen post with every keyword.
 
-    Repeats are reduced to the first arrival, which places the posts by id; the
-    match and its grouping then go on in the same partitions.
+    Repeats are reduced to the first arrival before anything else: an id that
+    arrives over and over leaves one row per task, and the shuffle places the
+    posts by id.  The comparison with ``seen``, the match and its grouping go on in
+    the same partitions.
     """
+    unseen = anti_seen(one_per_id(candidates), seen)
     carry = ["text", "created_at", *COUNTS, "labels", "embed"]
-    matched = match_all(one_per_id(unseen), keywords, text_col="text", carry=carry)
+    matched = match_all(unseen, keywords, text_col="text", carry=carry)
     record = post_record(matched).select(*POSTS.names, "keyword_ids")
-    return Collected(record, unseen.select("external_id").distinct())
+    return Collected(record, _new_ids(candidates, seen))
 
 
-def collect_first_seen(unseen: DataFrame, keywords: DataFrame) -> Collected:
+def collect_first_seen(candidates: DataFrame, keywords: DataFrame, seen: DataFrame) -> Collected:
     """Test every unseen post only with the keyword that delivered it first.
 
     Candidates of a keyword that is not stored count as not delivered.
     """
-    known = unseen.join(keywords.select(F.col("id").alias("keyword_id")), "keyword_id", "left_semi")
-    matched = match_first_seen(known, keywords)
+    known = candidates.join(keywords.select(F.col("id").alias("keyword_id")), "keyword_id", "left_semi")
+    matched = match_first_seen(known, keywords, seen)
     record = post_record(matched.withColumn("keyword_ids", F.array("keyword_id")))
-    return Collected(record.select(*POSTS.names, "keyword_ids"), known.select("external_id").distinct())
+    return Collected(record.select(*POSTS.names, "keyword_ids"), _new_ids(known, seen))

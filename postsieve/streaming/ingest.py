@@ -3,7 +3,7 @@
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from postsieve.operators.arrivals import anti_seen_batch
+from postsieve.operators.arrivals import seen_among
 from postsieve.operators.upsert import bridge_rows
 from postsieve.plans.collect import collect_all, collect_first_seen
 from postsieve.session import path_exists
@@ -39,8 +39,8 @@ def write_batch(
     and overwrites its own partitions.  Only unseen ids come this far, so links and
     ids are new and need no second look at the stored ones.
     """
-    unseen = anti_seen_batch(candidates, store.before("scanned_posts", run, epoch))
-    collected = MODES[mode](unseen, keywords)
+    seen = seen_among(candidates, store.before("scanned_posts", run, epoch))
+    collected = MODES[mode](candidates, keywords, seen)
     matched = collected.posts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {

@@ -25,6 +25,10 @@ ANSWERS = {
     "null": "null",
     "mixed": '[3, "x", null, [1], {"keyword": 5, "language": "en"}, {"language": "en"}, {"keyword": "ok", "language": "fr"}]',
     "twice": '[{"keyword": "A-b", "language": "en"}, {"keyword": "c", "language": "en"}, {"keyword": "a b", "language": "en"}, {"keyword": "a b", "language": "fr"}]',
+    "double field": '[{"keyword": "a", "keyword": "b", "language": "en"}]',
+    "numbers": '[{"keyword": 1.50, "language": "en"}, {"keyword": true, "language": "fr"}]',
+    "control": '[{"keyword": "a\tb", "language": "en"}]',
+    "comment": '[{"keyword": "a", "language": "en"}] // no',
     "foreign": '[{"keyword": "haus", "language": "de"}, {"keyword": "", "language": "en"}, {"keyword": "x"}]',
     "white space": ' \n [{"keyword": " a\\u00a0b ", "language": "en"}] \n',
 }

@@ -94,9 +94,10 @@ WITH_MARKS = f"""CASE WHEN starts_with({marked('keyword')}, chr(1)) THEN '' ELSE
 HOLDS = "contains(p.marked, k.marked)"
 
 CTES = {
-    "watched": f"watched(id, category, keyword, language) AS (VALUES {sql_values(WATCHED)})",
+    "watched": f"""listed(id, category, keyword, language) AS (VALUES {sql_values(WATCHED)}),
+        watched AS (SELECT CAST(id AS BIGINT) AS id, category, keyword, language FROM listed)""",
     "feed_words": f"""words(id, keyword, language) AS (VALUES {sql_values(FEED_WORDS)}),
-        feed_words AS (SELECT *, {WITH_MARKS} AS marked FROM words)""",
+        feed_words AS (SELECT CAST(id AS BIGINT) AS id, keyword, language, {WITH_MARKS} AS marked FROM words)""",
     "posts": f"""posts AS MATERIALIZED (SELECT CAST(doc_id AS VARCHAR) AS external_id, text, lang, source,
         {marked('text')} AS marked FROM documents)""",
     "turns": f"""turns AS MATERIALIZED (SELECT CAST(conv_id AS VARCHAR) AS external_id, turn AS pos, text,

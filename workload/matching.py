@@ -182,12 +182,13 @@ def labels_embed(spark, sf_dir):
 @query(
     "post_record",
     f"""SELECT CAST(doc_id AS VARCHAR) AS external_id, lower(text) AS content,
-        CAST(NULL AS TIMESTAMP) AS created_at, coalesce(quality, 0) AS like_count,
+        coalesce(quality, 0) AS like_count,
         coalesce(toxic, 0) AS reply_count, 0 AS quote_count, CAST(n_chars AS INTEGER) AS repost_count,
         {_LABELS} AS labels, {_EMBED} AS embed, lang AS language FROM {_LABELLED}""",
 )
 def records(spark, sf_dir):
-    return post_record(_with_labels(spark, sf_dir))
+    # No given document has a time.
+    return post_record(_with_labels(spark, sf_dir)).drop("created_at")
 
 
 # Candidates: arrival order, seen ids, caps.

@@ -32,7 +32,7 @@ BANDS, ROWS = 32, 5
 VALUES = BANDS * ROWS
 STEP = 32  # values compared before the next look at the posterior
 TOLERANCE = 1e-5
-BLOCK = 128
+BLOCK = 256
 BROADCAST_ROWS = 500_000
 _CELLS = 1 << 23  # of a dense block of shingle incidences
 
@@ -170,8 +170,16 @@ def _probable_links(batches: Iterator[pd.DataFrame], needed: list[tuple[int, int
             rights.append(pair + apart)
         if not lefts:
             return pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
-        labels = _lowest_labels(len(nodes), np.concatenate(lefts), np.concatenate(rights))
-        moved = np.flatnonzero(labels != np.arange(len(nodes)))
+        left, right = np.concatenate(lefts), np.concatenate(rights)
+        labels = _lowest_labels(len(nodes), left, right)
+        # Where two blocks meet, what a block connects by itself is known from where it
+        # meets itself; only the connections between such parts are new.
+        own = frame["own"].to_numpy()
+        inside = own[left] == own[right]
+        parts = _lowest_labels(len(nodes), left[inside], right[inside])
+        alone = frame["i"].to_numpy() == frame["j"].to_numpy()
+        at = np.arange(len(nodes))
+        moved = np.flatnonzero((labels != at) & (alone | (parts == at)))
         return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
 
     waiting = None
@@ -279,7 +287,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     members = bands.join(crowded, "key").join(nodes.select("node", "sig"), "node")
     needed = least_matches(threshold, tolerance)
     blocks = _spread(members, "key", "size").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    probable = blocks.select("key", "i", "j", "node", "sig").mapInPandas(
+    probable = blocks.select("key", "i", "j", "own", "node", "sig").mapInPandas(
         lambda batches: _probable_links(batches, needed), "a long, b long"
     )
     groups = components(probable)

@@ -26,7 +26,7 @@ END = 255  # the symbol behind a text; no byte of UTF-8
 # Memory bound of the trie: contexts of order 3 beyond the most frequent ones are scored by
 # their order-2 suffix.  Orders 0 to 2 have at most 2**24 cells and are complete.
 MAX_CONTEXTS = 1 << 16
-HEAVY_WORDS, HEAVY_BYTES = 300_000, 64
+HEAVY_WORDS, HEAVY_BYTES = 150_000, 64
 _WORD_END = b"\n"  # stands for the end token; no word holds it
 _FLUSH_GRAMS, _FLUSH_WORDS = 1 << 22, 300_000
 
@@ -80,6 +80,20 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     return rows.groupBy("gram", "word").agg(F.sum("n").alias("n"))
 
 
+def frequent(tokens: DataFrame, words: int) -> DataFrame:
+    """The words of at most ``HEAVY_BYTES`` whose count so few words reach that they are at most ``words``."""
+    short = tokens.where(F.octet_length("word") <= HEAVY_BYTES)
+    # Words by the octave of their count, so that only a few sums come back.
+    octaves = short.groupBy(F.floor(F.log2("c") * 16).alias("octave")).agg(F.count("*").alias("words"))
+    least, room = None, words
+    for row in octaves.orderBy(F.desc("octave")).collect():
+        room -= row["words"]
+        if room < 0:
+            break
+        least = row["octave"]
+    return short.where(F.lit(False) if least is None else F.floor(F.log2("c") * 16) >= least)
+
+
 class Trie:
     """Counts of contexts, turned into one table of log10 probabilities."""
 
@@ -196,9 +210,7 @@ def score_documents(docs: DataFrame, held_out: int = 10, max_contexts: int = MAX
     counts = stored(corpus_counts(rows.where("fold <> 0")))
     tokens = counts.where("word IS NOT NULL").select("word", F.col("n").alias("c"))
     total, distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    heavy = (
-        tokens.where(F.octet_length("word") <= HEAVY_BYTES).orderBy(F.desc("c"), "word").limit(HEAVY_WORDS).toPandas()
-    )
+    heavy = frequent(tokens, HEAVY_WORDS).toPandas()
     logs = dict(zip(map(bytes, heavy["word"]), np.log10(heavy["c"].to_numpy(dtype=np.float64) + 0.1), strict=True))
     shared = spark.sparkContext.broadcast((collect_trie(counts, max_contexts), logs))
     number = id(shared) ^ hash(str(spark.sparkContext.startTime))

@@ -50,25 +50,30 @@ class Automaton:
         self.labels = [b""] * size
         for token, number in vocabulary.items():
             self.labels[number] = token
-        # Labels as a trie: (node << 8 | byte) leads to the next node.
+        self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
+        self.removed: dict[int, int] = {}  # (state, arc) that a gadget took away: its number
+        self._table: dict[int, bool] = {}
+        for number, (a, b) in enumerate(merges):
+            self._gadget(number, vocabulary[a], vocabulary[b], vocabulary[a + b])
+        # Labels that are on arcs, as a trie: (node << 8 | byte) leads to the next node.
         self._next: dict[int, int] = {}
         self._label_at = [-1]
         for token, number in vocabulary.items():
+            if not self._reached(number):
+                continue
             node = 0
             for byte in token:
                 node = self._next.setdefault(node << 8 | byte, len(self._label_at))
                 if node == len(self._label_at):
                     self._label_at.append(-1)
             self._label_at[node] = number
-        self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
-        self.removed: dict[int, int] = {}  # (state, arc) that a gadget took away: its number
-        self._table: dict[int, bool] = {}
-        for number, (a, b) in enumerate(merges):
-            self._gadget(number, vocabulary[a], vocabulary[b], vocabulary[a + b])
+
+    def _reached(self, label: int) -> bool:
+        return self.born[label] >= 0 or len(self.labels[label]) == 1
 
     def _gadget(self, number: int, a: int, b: int, ab: int) -> None:
-        # No arc b behind a: no path uses the two, so the merge never applies.
-        if self.born[ab] < 0 and self._has_arc(a, b):
+        # Without an arc b behind a no path uses the two, so the merge never applies.
+        if self.born[ab] < 0 and self._reached(a) and self._reached(b) and self._has_arc(a, b):
             self.removed[a << 20 | b] = number
             self.left[ab], self.right[ab], self.born[ab] = a, b, number
 

@@ -12,16 +12,10 @@ from postsieve.functions.completions import (
 )
 from postsieve.functions.text import bind, plural, strip
 from postsieve.operators.numbering import dense_ids
+from postsieve.operators.sizing import fits_broadcast
 
 MIN_KEYWORD_LENGTH = 3
 
-PROMPT = (
-    "Write a JSON list of exactly %d unique keywords about \"%s\". "
-    "Form of an element: {\"keyword\": \"word\", \"language\": \"en\"}. "
-    "Languages: a mix of fr and en. JSON only, no other text."
-)
-
-
 def numbered_list(queries: DataFrame, per_prompt: int = 500) -> DataFrame:
     """The queries of each model as one numbered text per prompt.
 
@@ -40,30 +34,49 @@ def numbered_list(queries: DataFrame, per_prompt: int = 500) -> DataFrame:
     )
 
 
-def prompt_table(topics: DataFrame, n_keywords: int, template: str = PROMPT) -> DataFrame:
-    """One prompt per (model, query), for the batch that asks the models."""
+def prompt_table(topics: DataFrame, n_keywords: int, template: str) -> DataFrame:
+    """One prompt per (model, query), for the batch that asks the models.
+
+    ``template`` takes the number and the topic, as ``%d`` and ``%s``.
+    """
     return topics.withColumn("prompt", F.format_string(template, F.lit(n_keywords), F.col("topic")))
 
 
 def parse_topics(answers: DataFrame) -> DataFrame:
-    """``model, content`` -> ``model, topics``; NULL where the answer is unusable."""
-    return answers.select(
-        "model", topic_list(parse_json(topic_body(F.col("content")))).alias("topics")
-    )
+    """Replaces ``content`` by ``topics``; NULL where the answer is unusable."""
+    topics = F.struct(topic_list(parse_json(topic_body(F.col("content")))).alias("topics"))
+    rest = [c for c in answers.columns if c != "content"]
+    # Behind the generator, so that filters on the topics do not parse again.
+    return answers.select(*rest, F.inline(F.array(topics)))
 
 
-def topic_fallback(queries: DataFrame, answers: DataFrame) -> DataFrame:
+def topic_fallback(queries: DataFrame, answers: DataFrame, per_prompt: int | None = None) -> DataFrame:
     """Pair each query with its topic.
 
-    The topics of a model count only if there are as many as queries; otherwise
-    every query of that model stands for itself, lower-cased.  Pairs with an empty
-    topic are skipped.  The joins are on (model, position), so one model with a
+    With ``per_prompt``, as given to ``numbered_list``, an answer belongs to one
+    prompt and ``answers`` has its ``prompt_no``; else a model has one list and one answer.
+    The topics of an answer count only if there are as many as queries in its
+    prompt; of several such answers to a prompt the least list counts.  Where none
+    does, every query of that prompt stands for itself, lower-cased.  Pairs with an
+    empty topic are skipped.  The joins are on (model, position), so one model with a
     great many queries spreads over all tasks.
     """
-    counts = queries.groupBy("model").agg(F.count("*").alias("_n"))
-    usable = parse_topics(answers).join(counts, "model").filter(F.size("topics") == F.col("_n"))
-    topics = usable.select("model", F.posexplode("topics").alias("pos", "_topic")).withColumn(
-        "_usable", F.lit(True)
+    prompt = F.floor(F.col("pos") / per_prompt).cast("long") if per_prompt else F.lit(0).cast("long")
+    counts = queries.groupBy("model", prompt.alias("prompt_no")).agg(F.count("*").alias("_n"))
+    parsed = parse_topics(answers)
+    if per_prompt is None:
+        parsed = parsed.withColumn("prompt_no", F.lit(0).cast("long"))
+    usable = (
+        parsed.join(counts, ["model", "prompt_no"])
+        .filter(F.size("topics") == F.col("_n"))
+        .groupBy("model", "prompt_no")
+        .agg(F.min("topics").alias("topics"))
+    )
+    topics = usable.select("model", "prompt_no", F.posexplode("topics").alias("_at", "_topic")).select(
+        "model",
+        (F.col("_at") + F.col("prompt_no") * F.lit(per_prompt or 0)).alias("pos"),
+        "_topic",
+        F.lit(True).alias("_usable"),
     )
     paired = queries.join(topics, ["model", "pos"], "left").withColumn(
         "topic", F.when(F.col("_usable"), F.col("_topic")).otherwise(F.lower("query"))
@@ -122,10 +135,13 @@ def keyword_shortage(completions: DataFrame, n_keywords: int) -> DataFrame:
 
 
 def category_lookup(rows: DataFrame, categories: DataFrame, name_col: str = "query") -> DataFrame:
-    """Add ``category_id`` by category name."""
-    return rows.join(
-        categories.select(F.col("category").alias(name_col), F.col("id").alias("category_id")), name_col
-    )
+    """Add ``category_id`` by category name.
+
+    A name may be that of a third of all rows, so the categories are broadcast while
+    they fit; beyond that adaptive execution splits the larger side.
+    """
+    names = categories.select(F.col("category").alias(name_col), F.col("id").alias("category_id"))
+    return rows.join(F.broadcast(names) if fits_broadcast(names) else names, name_col)
 
 
 def category_get_or_create(categories: DataFrame, wanted: DataFrame) -> DataFrame:

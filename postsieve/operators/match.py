@@ -103,7 +103,8 @@ def match_pairs(
     variant_seq, language``.  A keyword table within the bounds is broadcast:
     posts are then read, split into words and joined in one stage, without a
     shuffle.  A larger one is joined by shuffling bare words, see
-    ``_match_shuffled``; there ``id_col`` must be unique.
+    ``_match_shuffled``.  Either way every row of ``posts`` is matched by itself, also
+    rows that share an id.
     """
     carry = carry or []
     prepared = prepare_keywords(keywords)
@@ -147,18 +148,22 @@ def _match_shuffled(
 
     Words are shuffled as bare (id, word) pairs.  A word that most texts contain
     would land in one task, so words are salted by post id and keywords copied
-    once per salt.  The pairs found meet the texts again by id, for the keywords
-    that the anchor does not prove; posts already placed by id stay in place.
+    once per salt.  The pairs found meet the texts again by id and text, so rows that
+    share an id stay apart, and rows that share both are looked up once.  Texts
+    are shuffled, never broadcast by an estimate of their size.
     """
-    salt = F.pmod(F.xxhash64(id_col), F.lit(_SALTS)).cast("int")
+    texts = texts.withColumn("_hash", F.xxhash64("_text"))
+    salt = F.pmod(F.xxhash64(id_col, "_hash"), F.lit(_SALTS)).cast("int")
     tokens = texts.select(
-        id_col, salt.alias("_salt"), F.explode(_tokens(F.col("_text"), with_gaps)).alias("anchor")
+        id_col, "_hash", salt.alias("_salt"), F.explode(_tokens(F.col("_text"), with_gaps)).alias("anchor")
     )
+    # The join needs this placing anyway.
+    tokens = tokens.repartition("anchor", "_salt").dropDuplicates()
     copies = prepared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     # Hashing the keywords spares sorting the many words.
     found = tokens.join(copies.hint("shuffle_hash"), ["anchor", "_salt"])
-    rest = texts.select(id_col, "_text", *[c for c in payload if c != "language"])
-    return found.join(rest, id_col).filter(_confirmed(F.col("_text")))
+    rest = texts.select(id_col, "_hash", "_text", *[c for c in payload if c != "language"])
+    return found.join(rest.hint("merge"), [id_col, "_hash"]).filter(_confirmed(F.col("_text")))
 
 
 def match_all(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions.records import post_record
 from postsieve.operators.arrivals import ARRIVAL, anti_seen, first_arrival, match_first_seen
+from postsieve.operators.keywords import expand_variants
 from postsieve.operators.match import match_all
 from postsieve.schemas import COUNTS, POSTS
 
@@ -28,14 +29,19 @@ def _new_ids(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     return anti_seen(candidates.select("external_id").distinct(), seen)
 
 
-def collect_all(candidates: DataFrame, keywords: DataFrame, seen: DataFrame) -> Collected:
-    """Test every unseen post with every keyword.
+def collect_all(
+    candidates: DataFrame, keywords: DataFrame, seen: DataFrame, lemmas: DataFrame | None = None
+) -> Collected:
+    """Test every unseen post with every keyword, and with ``lemmas`` also with the
+    plural and the lemma of each, under its id.
 
     Repeats are reduced to the first arrival before anything else: an id that
     arrives over and over leaves one row per task, and the shuffle places the
     posts by id.  The comparison with ``seen``, the match and its grouping go on in
     the same partitions.
     """
+    if lemmas is not None:
+        keywords = expand_variants(keywords, lemmas)
     unseen = anti_seen(one_per_id(candidates), seen)
     carry = ["text", "created_at", *COUNTS, "labels", "embed"]
     matched = match_all(unseen, keywords, text_col="text", carry=carry)

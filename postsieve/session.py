@@ -29,13 +29,17 @@ def build_session(app: str = "postsieve", cpus: int | None = None) -> SparkSessi
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests, a laptop) a temporary folder is made and remembered.
+    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and
+    driver and executors are one process (tests, a laptop) a temporary folder is
+    made and remembered.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.postsieve.work.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"{master} needs a folder that all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.postsieve.work.dir", folder)
     return folder.rstrip("/")

@@ -2,11 +2,11 @@
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from postsieve.operators.arrivals import anti_seen
 from postsieve.session import path_exists
-from postsieve.schemas import POSTS_CSV
-from postsieve.sources.files import CSV_OPTIONS, scan_posts_csv
+from postsieve.sources.files import CSV_OPTIONS, header, scan_posts_csv
 
 
 def unseen_rows(posts: DataFrame, path: str) -> DataFrame:
@@ -18,11 +18,23 @@ def unseen_rows(posts: DataFrame, path: str) -> DataFrame:
 
 
 def append_unseen_csv(posts: DataFrame, path: str) -> int:
-    """Append the unseen posts and return how many there were.
+    """Append the unseen posts with all their columns and return how many there were.
 
-    Every file carries the header, so any file of the folder can be read alone.
+    Lists are written as JSON text.  Every file carries the header, so any file of the
+    folder can be read alone; what comes later is brought into the columns of the
+    folder, and a column it does not have is an error.  Without unseen posts nothing
+    is written.
     """
-    rows = unseen_rows(posts.select(*POSTS_CSV.names), path)
+    lists = [f.name for f in posts.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    rows = posts.withColumns({c: F.to_json(c) for c in lists})
+    if path_exists(posts.sparkSession, path):
+        columns = header(posts.sparkSession, path)
+        if new := [c for c in rows.columns if c not in columns]:
+            raise ValueError(f"{path} has no column {', '.join(new)}")
+        rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    rows = unseen_rows(rows, path)
+    if rows.isEmpty():
+        return 0
     written = Observation()
     rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").options(
         **CSV_OPTIONS

@@ -47,12 +47,18 @@ class Store:
             empty.write.mode("overwrite").parquet(f"{self.path(table)}/{_EMPTY}")
 
     def register(self, database: str) -> None:
-        """Make the tables known to the catalog under ``database``."""
+        """Make the tables known to the catalog under ``database``, as ``read`` shows them.
+
+        They are views: what later batches write shows at once.
+        """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.base}/_catalog'")
-        for table in TABLES:
-            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-            self.spark.catalog.createTable(f"{database}.{table}", path=self.path(table), source="parquet")
-            self.spark.catalog.recoverPartitions(f"{database}.{table}")
+        for table, schema in TABLES.items():
+            columns = ", ".join(schema.names)
+            rows = f"parquet.`{self.path(table)}`"
+            if table == "posts":
+                newest = "row_number() OVER (PARTITION BY external_id ORDER BY run DESC, epoch DESC)"
+                rows = f"(SELECT *, {newest} AS version FROM {rows}) WHERE version = 1"
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {columns} FROM {rows}")
 
     def versions(self, table: str) -> DataFrame:
         """All rows with the run and epoch that wrote them."""

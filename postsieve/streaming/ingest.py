@@ -31,21 +31,29 @@ def run_of(spark: SparkSession, store: Store, checkpoint: str) -> int:
 
 
 def write_batch(
-    candidates: DataFrame, keywords: DataFrame, store: Store, run: int, epoch: int, mode: str = "all"
+    candidates: DataFrame,
+    keywords: DataFrame,
+    store: Store,
+    run: int,
+    epoch: int,
+    mode: str = "all",
+    lemmas: DataFrame | None = None,
 ) -> dict[str, int]:
     """Collect one batch of candidates and store it; returns the rows written.
 
     Posts first, seen ids last: a batch that breaks off in between is done again
-    and overwrites its own partitions.  Only unseen ids come this far, so links and
-    ids are new and need no second look at the stored ones.
+    and overwrites its own partitions.  If that is done from a fresh checkpoint, the
+    links are there already under another run, so links are inserted only if absent;
+    ids, written last, are new whenever they come this far.
     """
     seen = seen_among(candidates, store.before("scanned_posts", run, epoch))
-    collected = MODES[mode](candidates, keywords, seen)
+    options = {"lemmas": lemmas} if mode == "all" else {}
+    collected = MODES[mode](candidates, keywords, seen, **options)
     matched = collected.posts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {
             "posts": store.upsert_posts(matched, run, epoch),
-            "post_keywords": store.append("post_keywords", bridge_rows(matched), run, epoch),
+            "post_keywords": store.insert_links(bridge_rows(matched), run, epoch),
             "scanned_posts": store.append("scanned_posts", collected.seen, run, epoch),
         }
     finally:
@@ -59,10 +67,12 @@ def ingest_posts(
     checkpoint: str,
     mode: str = "all",
     dedup_state: bool = False,
+    lemmas: DataFrame | None = None,
 ) -> list[dict[str, int]]:
     """Work through all waiting candidates, batch by batch, and stop.
 
-    ``mode`` is ``all`` (every keyword is tested) or ``first_seen``.  Ids are
+    ``mode`` is ``all`` (every keyword is tested, with ``lemmas`` also its plural and
+    lemma) or ``first_seen``.  Ids are
     compared with the seen table; with ``dedup_state`` repeats within the stream
     are also dropped by the stream's own state, which spares the batches that are
     repeats only (choose the RocksDB state store for large id sets).  Returns the
@@ -73,7 +83,7 @@ def ingest_posts(
     written: list[dict[str, int]] = []
 
     def page(batch: DataFrame, epoch: int) -> None:
-        written.append(write_batch(batch, keywords, store, run, epoch, mode))
+        written.append(write_batch(batch, keywords, store, run, epoch, mode, lemmas))
 
     if dedup_state and mode != "all":
         raise ValueError("dedup_state keeps any copy of a repeated id; first_seen needs the first")

@@ -1,6 +1,3 @@
-import json
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,29 +31,32 @@ ANSWERS = {
 }
 
 
-def python_body(content):
-    text = content.strip()
-    if "```" not in text:
-        return text
-    inner = text.split("```")[1]
-    return re.sub(r"\Ajson", "", inner).strip()
-
-
-def python_clean(content):
-    """None for an unusable answer, else the clean keywords."""
-    try:
-        parsed = json.loads(python_body(content))
-    except ValueError:
-        return None
-    items = [i for i in parsed if isinstance(i, dict)] if isinstance(parsed, list) else []
-    pairs = {}
-    for item in items:
-        word = str(item.get("keyword", "")).lower().replace("_", " ").replace("-", " ")
-        word = re.sub(r"\s+", " ", word).strip()
-        language = str(item.get("language", "")).strip().lower()
-        if word and language in ("fr", "en"):
-            pairs[(word, language)] = None
-    return list(pairs)
+# The clean keywords of each answer; None for one that cannot be used.
+CLEAN = {
+    "bare": [("real estate", "en"), ("maison", "fr")],
+    "fenced": [("a b", "en")],
+    "fenced plain": [("chat", "fr")],
+    "fenced json inside": [("json tools", "en")],
+    "unclosed fence": [("open", "en")],
+    "broken": None,
+    "trailing": None,
+    "trailing bracket": None,
+    "trailing brace": None,
+    "two values": None,
+    "empty": None,
+    "scalar": [],
+    "text": [],
+    "object": [],
+    "null": [],
+    "mixed": [("5", "en"), ("ok", "fr")],
+    "twice": [("a b", "en"), ("c", "en"), ("a b", "fr")],
+    "double field": [("b", "en")],
+    "numbers": [("1.5", "en"), ("true", "fr")],
+    "control": None,
+    "comment": None,
+    "foreign": [],
+    "white space": [("a b", "en")],
+}
 
 
 @pytest.fixture(scope="module")
@@ -67,23 +67,23 @@ def completions(spark):
 
 def test_parse_completions(completions):
     for row in K.parse_completions(completions).collect():
-        want = python_clean(ANSWERS[row.query])
+        want = CLEAN[row.query]
         assert row.is_valid == (want is not None), row.query
         assert [tuple(k) for k in row.keywords or []] == (want or []), row.query
 
 
 def test_clean_keywords_agrees_with_results(completions):
     rows = K.clean_keywords(completions).orderBy("model_seq", "pos").collect()
-    want = [(q, i, *k) for q, c in ANSWERS.items() for i, k in enumerate(python_clean(c) or [])]
+    want = [(q, i, *k) for q, c in CLEAN.items() for i, k in enumerate(c or [])]
     assert [(r.query, r.pos, r.keyword, r.language) for r in rows] == want
 
 
 def test_rejects_and_shortage(completions):
     rejected = {r.query: r for r in K.rejects_report(completions).collect()}
-    assert set(rejected) == {q for q, c in ANSWERS.items() if python_clean(c) is None}
+    assert set(rejected) == {q for q, c in CLEAN.items() if c is None}
     assert rejected["broken"].title == "BROKEN"
     short = {r.query: (r.accepted, r.missing) for r in K.keyword_shortage(completions, 2).collect()}
-    want = {q: len(python_clean(c)) for q, c in ANSWERS.items() if python_clean(c) is not None}
+    want = {q: len(c) for q, c in CLEAN.items() if c is not None}
     assert short == {q: (n, 2 - n) for q, n in want.items() if n < 2}
 
 
@@ -137,5 +137,13 @@ def test_numbered_list_splits_long_lists(spark):
 
 def test_prompt_table(spark):
     topics = spark.createDataFrame([("m", 0, "law")], "model string, pos int, topic string")
-    prompt = K.prompt_table(topics, 7).first().prompt
-    assert "exactly 7 " in prompt and '"law"' in prompt
+    assert K.prompt_table(topics, 7, "%d words on %s").first().prompt == "7 words on law"
+
+
+def test_topics_belong_to_their_prompt(spark):
+    queries = spark.createDataFrame([("m", i, f"Q{i}") for i in range(6)], "model string, pos int, query string")
+    answers = [("m", 0, '["a", "b", "c"]'), ("m", 0, '["a", "z", "c"]'), ("m", 1, '["d", "e"]')]
+    answers = [(m, p, '{"topics": %s}' % c) for m, p, c in answers]
+    answers = spark.createDataFrame(answers, "model string, prompt_no long, content string")
+    got = [r.topic for r in K.topic_fallback(queries, answers, per_prompt=3).orderBy("pos").collect()]
+    assert got == ["a", "b", "c", "q3", "q4", "q5"]

@@ -110,6 +110,33 @@ def test_crash_between_posts_and_ids_is_made_good(spark, store, keywords, folder
     assert len(content(store)["seen"]) == 8
 
 
+def test_a_fresh_checkpoint_after_a_break_keeps_links_unique(spark, store, keywords, folder, monkeypatch):
+    landing = folder + "/landing"
+    land(spark, landing, PAGES[0], 0)
+    append = Store.append
+
+    def failing(self, table, *args):
+        if table == "scanned_posts":
+            raise RuntimeError("lost")
+        return append(self, table, *args)
+
+    monkeypatch.setattr(Store, "append", failing)
+    with pytest.raises(Exception, match="lost"):
+        run(spark, store, keywords, landing, folder + "/one")
+    monkeypatch.setattr(Store, "append", append)
+    run(spark, store, keywords, landing, folder + "/two")
+    assert store.read("post_keywords").count() == len(expected(range(8)))
+    assert content(store)["links"] == expected(range(8))
+
+
+def test_variants_match_under_the_same_id(spark, store, folder):
+    keywords = spark.createDataFrame([(1, "cats", "en"), (2, "red", "en")], "id long, keyword string, language string")
+    lemmas = spark.createDataFrame([("cats", "en", "modern")], "token string, language string, lemma string")
+    land(spark, folder + "/landing", [(1, 0), (1, 1), (1, 2)], 0)
+    run(spark, store, keywords, folder + "/landing", folder + "/cp", lemmas=lemmas)
+    assert content(store)["links"] == {("id0", 1), ("id2", 2)}
+
+
 def test_an_older_checkpoint_may_not_write_any_more(spark, store, keywords, folder):
     landing = folder + "/landing"
     land(spark, landing, PAGES[0], 0)

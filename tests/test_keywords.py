@@ -9,24 +9,28 @@ from postsieve.plans.generate import build_keywords, keyword_order
 WORDS = ["ab", "law", "Droit", " law ", "e sport", "x", "art", "bio", "été"]
 
 
-def sequential_build(rows, categories, stored):
-    """Model after model; a word once accepted blocks it for later models."""
-    existing = {(c, w.lower().strip()) for c, w in stored}
-    inserted = []
-    for model in sorted({r[0] for r in rows}):
-        batch = set()
-        for seq, query, keyword, language in rows:
-            word = keyword.lower().strip()
-            category = categories[query]
-            if seq == model and len(word) >= 3 and (category, word) not in existing:
-                batch.add((category, word, language))
-        inserted += [(*item, model) for item in batch]
-        existing |= {item[:2] for item in batch}
-    return sorted(inserted)
+def accepted(rows, categories, stored):
+    """Per (category, word) that is not stored: the lowest model with all its languages."""
+    known = {(c, w.strip().lower()) for c, w in stored}
+    offers = {(categories[q], w.strip().lower(), lang, m) for m, q, w, lang in rows if len(w.strip()) >= 3}
+    lowest = {}
+    for category, word, _, model in offers:
+        lowest[category, word] = min(model, lowest.get((category, word), model))
+    return sorted(o for o in offers if o[:2] not in known and lowest[o[:2]] == o[3])
+
+
+def test_first_model_wins_with_all_its_languages(spark):
+    rows = [(1, "a", "Law", "en"), (0, "a", " law", "fr"), (0, "a", "law", "en"), (1, "b", "law", "fr"), (2, "a", "xy", "en")]
+    got = K.keyword_build(
+        spark.createDataFrame(rows, "model_seq int, query string, keyword string, language string"),
+        spark.createDataFrame([(1, "a"), (2, "b")], "id int, category string"),
+        spark.createDataFrame([(2, "other")], "category_id int, keyword string"),
+    ).collect()
+    assert sorted((r.category_id, r.language, r.model_seq) for r in got) == [(1, "en", 0), (1, "fr", 0), (2, "fr", 1)]
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_keyword_build_equals_the_loop(spark, seed):
+def test_keyword_build_follows_the_rule(spark, seed):
     rng = random.Random(seed)
     categories = {"a": 1, "b": 2}
     rows = [
@@ -38,7 +42,7 @@ def test_keyword_build_equals_the_loop(spark, seed):
         spark.createDataFrame([(i, c) for c, i in categories.items()], "id int, category string"),
         spark.createDataFrame(stored, "category_id int, keyword string"),
     ).collect()
-    assert sorted((r.category_id, r.keyword, r.language, r.model_seq) for r in got) == sequential_build(
+    assert sorted((r.category_id, r.keyword, r.language, r.model_seq) for r in got) == accepted(
         rows, categories, stored
     )
 

@@ -48,6 +48,16 @@ def test_match_pairs_equals_python(spark, monkeypatch, seed, way):
     assert set(got) == python_pairs(posts, keywords)
 
 
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_rows": 0}])
+def test_rows_that_share_an_id_stay_apart(spark, options):
+    rows = [("a", "a cat here", 1), ("a", "no pets", 2), ("a", "big cat here", 3), ("b", "a cat here", 4), ("b", "a cat here", 4)]
+    posts = spark.createDataFrame(rows, "external_id string, content string, n int").repartition(3)
+    keywords = spark.createDataFrame([(1, "cat", "en"), (2, "cat here", "en")], "id int, keyword string, language string")
+    got = match.match_pairs(posts, keywords, carry=["content", "n"], **options).collect()
+    want = [(i, t, n, k) for i, t, n in rows for k in (1, 2) if "cat" in t]
+    assert sorted((r.external_id, r.content, r.n, r.keyword_id) for r in got) == sorted(want)
+
+
 def test_word_cases_through_the_join(spark):
     posts = [(str(i), text) for i, (_, text, _) in enumerate(WORD_CASES)]
     keywords = [(i, keyword, "en") for i, (keyword, _, _) in enumerate(WORD_CASES)]

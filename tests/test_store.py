@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from postsieve import schemas
 from postsieve.operators import integrity, reports
 from postsieve.sinks.csv_posts import append_unseen_csv
+from postsieve.session import work_folder
 from postsieve.sinks.store import Store
 from postsieve.sources.files import scan_posts_csv
 
@@ -73,6 +76,11 @@ def test_register_lists_the_tables(spark, store):
     store.register("monitor_test")
     assert sorted(t.name for t in spark.catalog.listTables("monitor_test")) == sorted(schemas.TABLES)
     assert spark.table("monitor_test.posts").count() == 1
+    # Later batches show at once, replaced versions do not.
+    store.upsert_posts(posts(spark, [("a", "y", 2), ("b", "z", 1)]), 0, 1)
+    rows = spark.table("monitor_test.posts")
+    assert rows.columns == schemas.POSTS.names
+    assert sorted((r.external_id, r.content) for r in rows.collect()) == [("a", "y"), ("b", "z")]
     spark.sql("DROP DATABASE monitor_test CASCADE")
 
 
@@ -100,6 +108,49 @@ def test_csv_round_trip_and_append(spark, folder):
     assert scan_posts_csv(spark, path).count() == len(AWKWARD) + 2
 
 
+def test_csv_keeps_every_field(spark, folder):
+    rows = posts(spark, [("1", "x", 1)]).withColumns(
+        {"language": F.lit("fr"), "embed": F.lit('{"a": 1}'), "keyword_ids": F.array(F.lit(3), F.lit(5))}
+    )
+    append_unseen_csv(rows, folder + "/csv")
+    got = scan_posts_csv(spark, folder + "/csv").first()
+    assert (got.language, got.embed, got.keyword_ids) == ("fr", '{"a": 1}', "[3,5]")
+    with pytest.raises(ValueError, match="no column other"):
+        append_unseen_csv(rows.withColumn("other", F.lit(1)), folder + "/csv")
+
+
+def test_csv_writes_nothing_for_no_posts(spark, folder):
+    assert append_unseen_csv(posts(spark, [("1", "x", 1)]).limit(0), folder + "/none") == 0
+    assert not os.path.exists(folder + "/none")
+
+
+def test_csv_columns_by_name(spark, folder):
+    with open(folder + "/p.csv", "w") as file:
+        file.write("category,created_at,like_count,content,external_id\n")
+        file.write("art,2025-03-01T10:00:00.000Z,7,hi,1\nlaw,2025-03-01 10:00:00,x,,2\nlaw,2025-03-01T12:00:00+02:00,,a,3\n")
+    rows = scan_posts_csv(spark, folder + "/p.csv").orderBy("external_id").collect()
+    assert [(r.external_id, r.content, r.like_count, r.category) for r in rows] == [
+        ("1", "hi", 7, "art"), ("2", "", None, "law"), ("3", "a", None, "law")
+    ]
+    assert {str(r.created_at) for r in rows} == {"2025-03-01 10:00:00"}
+    with open(folder + "/q.csv", "w") as file:
+        file.write("id,content\n1,x\n")
+    with pytest.raises(ValueError, match="external_id"):
+        scan_posts_csv(spark, folder + "/q.csv")
+
+
+def test_a_cluster_must_name_its_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(Session())
+
+
 def test_csv_null_content_is_empty(spark, folder):
     append_unseen_csv(posts(spark, [("1", None, 1)]), folder + "/csv")
     assert scan_posts_csv(spark, folder + "/csv").first().content == ""

@@ -1,8 +1,13 @@
 """Queries of keyword generation."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from postsieve.operators import keywords as kw
+from postsieve.plans.generate import store_generated
+from postsieve.session import work_folder
+from postsieve.sinks.store import Store
 from workload import inputs
 from workload.inputs import COMPLETIONS_SQL, LEMMAS_SQL, TOPICS_SQL, VOCABULARY_SQL, table, with_sql
 from workload.registry import query
@@ -30,14 +35,39 @@ def topic_fallback(spark, sf_dir):
     return kw.topic_fallback(inputs.topic_queries(spark, sf_dir), inputs.topic_answers(spark, sf_dir))
 
 
+@query("topics_by_prompt", f"""WITH {TOPICS_SQL.replace("topics AS (", "one_answer AS (")}, sizes AS (
+    SELECT model, pos // 7 AS prompt_no, count(*) AS n FROM queries GROUP BY ALL)
+    SELECT q.model, CAST(q.pos AS INTEGER) AS pos, q.query,
+        CASE WHEN (q.pos // 7 + q.no) % 3 = 0 THEN lower(q.query)
+             ELSE regexp_extract(q.query, '^[^ \t\n\r\f\v]*') END AS topic
+    FROM queries q JOIN sizes s ON s.model = q.model AND s.prompt_no = q.pos // 7 WHERE topic != ''""")
+def topics_by_prompt(spark, sf_dir):
+    """Seven queries to a prompt; every third answer lacks its last topic."""
+    queries = inputs.topic_queries(spark, sf_dir)
+    numbers = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("model"),
+        F.regexp_extract("source", "[0-9]+", 0).cast("int").alias("no"),
+        F.split("text", "\n").alias("list"),
+    )
+    prompts = numbers.select(
+        "model", "no", "list", F.explode(F.sequence(F.lit(0), F.floor((F.size("list") - 1) / 7).cast("int"))).alias("prompt_no")
+    )
+    part = F.slice("list", F.col("prompt_no") * 7 + 1, F.lit(7))
+    said = F.transform(part, lambda q: F.regexp_extract(q, r"^[^ \t\n\r\f\x0b]*", 0))
+    short = (F.col("prompt_no") + F.col("no")) % 3 == 0
+    used = F.when(short, F.slice(said, 1, F.size(said) - 1)).otherwise(said)
+    answers = prompts.select(
+        "model", F.col("prompt_no").cast("long").alias("prompt_no"), F.to_json(F.struct(used.alias("topics"))).alias("content")
+    )
+    return kw.topic_fallback(queries, answers, per_prompt=7).select("model", "pos", "query", "topic")
+
+
 @query("prompt_table", f"""WITH {TOPICS_SQL} SELECT model, CAST(pos AS INTEGER) AS pos,
-    'Write a JSON list of exactly 50 unique keywords about "' || topic || '". '
-    || 'Form of an element: {{"keyword": "word", "language": "en"}}. '
-    || 'Languages: a mix of fr and en. JSON only, no other text.' AS prompt
+    '50 keywords for: ' || topic AS prompt
     FROM topics WHERE topic != ''""")
 def prompt_table(spark, sf_dir):
     topics = kw.topic_fallback(inputs.topic_queries(spark, sf_dir), inputs.topic_answers(spark, sf_dir))
-    return kw.prompt_table(topics, 50).select("model", "pos", "prompt")
+    return kw.prompt_table(topics, 50, "%d keywords for: %s").select("model", "pos", "prompt")
 
 
 @query("parse_completions", f"""WITH {COMPLETIONS_SQL}
@@ -101,6 +131,12 @@ _NEW = f"""WITH {COMPLETIONS_SQL}, {_CATEGORIES}, {_STORED}, named AS (
     QUALIFY rank() OVER (PARTITION BY category_id, keyword ORDER BY model_seq) = 1)"""
 
 
+# part: the keywords that are stored before, in the first category.
+_STORED_ROWS = """
+stored AS (
+    SELECT p_partkey AS id, CAST(1 AS BIGINT) AS category_id, p_name AS keyword, p_brand AS language FROM part)"""
+
+
 def _stored_keywords(spark, sf_dir):
     """benchmark: every line is stored already, in every category."""
     return (
@@ -129,6 +165,28 @@ def keyword_insert(spark, sf_dir):
     return kw.number_keywords(_build(spark, sf_dir), stored)
 
 
+@query("generate_and_store", f"""{_NEW.replace(_STORED.strip(), _STORED_ROWS.strip())}
+    SELECT c.category, k.keyword, k.language, k.id FROM (
+        SELECT id, category_id, keyword, language FROM stored UNION ALL
+        SELECT (SELECT max(id) FROM stored) + row_number() OVER (ORDER BY model_seq, category_id, keyword, language),
+            category_id, keyword, language FROM built) k JOIN categories c ON c.id = k.category_id""")
+def generate_and_store(spark, sf_dir):
+    """Categories and keywords of a store before and after a batch, which is done twice."""
+    store = Store(spark, f"{work_folder(spark)}/generated-{uuid.uuid4().hex}")
+    store.bootstrap()
+    store.append("categories", spark.createDataFrame(_STORED_CATEGORIES, "id long, category string"), 0, 0)
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.lit(1).cast("long").alias("category_id"),
+        F.col("p_name").alias("keyword"), F.col("p_brand").alias("language"),
+    )
+    store.append("keywords", parts, 0, 0)
+    wanted = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("input_seq"), F.col("lang").alias("category"))
+    for _ in range(2):
+        store_generated(inputs.completions(spark, sf_dir), wanted, store, 0, 1)
+    categories = store.read("categories").withColumnRenamed("id", "category_id")
+    return store.read("keywords").join(F.broadcast(categories), "category_id").select("category", "keyword", "language", "id")
+
+
 @query("category_get_or_create", """
     WITH wanted AS (SELECT s_suppkey AS input_seq, s_name AS category FROM supplier UNION ALL
                     SELECT c_custkey, c_mktsegment FROM customer),

@@ -277,6 +277,28 @@ def seen_union(spark, sf_dir):
 _KEYWORD_TABLE = "kw AS (SELECT p_partkey AS id, p_name AS keyword, p_type AS language FROM part)"
 
 
+_TURNS = f"""{with_sql('watched', 'turns')}, all_keywords AS (SELECT *, {WITH_MARKS} AS marked FROM watched)
+    SELECT p.external_id, p.pos, k.id AS keyword_id, k.language FROM turns p, all_keywords k WHERE {HOLDS}"""
+
+
+def _match_turns(spark, sf_dir, **options):
+    """Turns share the id of their conversation."""
+    pairs = match.match_pairs(
+        inputs.turns(spark, sf_dir), inputs.watched(spark), text_col="text", carry=["pos"], **options
+    )
+    return pairs.select("external_id", "pos", "keyword_id", "language")
+
+
+@query("match_turns", _TURNS)
+def match_turns(spark, sf_dir):
+    return _match_turns(spark, sf_dir)
+
+
+@query("match_turns_shuffled", _TURNS)
+def match_turns_shuffled(spark, sf_dir):
+    return _match_turns(spark, sf_dir, max_broadcast_rows=0)
+
+
 @query(
     "keyword_lookup",
     f"""{with_sql('feed_words')}, {_KEYWORD_TABLE}

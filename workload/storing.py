@@ -21,6 +21,22 @@ def _new_folder(spark, name):
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@query("csv_by_header", """SELECT CAST(event_id AS VARCHAR) AS external_id, coalesce(props, '') AS content,
+    CAST(ts AS TIMESTAMP) AS created_at, CAST(user_id AS INTEGER) AS like_count, event_type AS category FROM events""")
+def csv_by_header(spark, sf_dir):
+    """A file with its columns in another order, one too many, and zoned times."""
+    folder = _new_folder(spark, "header_csv")
+    table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("category"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("created_at"),
+        F.col("user_id").alias("like_count"),
+        F.col("props").alias("content"),
+        F.col("event_id").alias("external_id"),
+    ).write.options(**files.CSV_OPTIONS).csv(folder)
+    rows = files.scan_posts_csv(spark, folder)
+    return rows.select("external_id", "content", "created_at", "like_count", "category")
+
+
 def _as_csv_posts(posts):
     """Posts in the columns of the CSV file; the length stands in for the likes."""
     return posts.select(
@@ -93,19 +109,18 @@ def count_rows(spark, sf_dir):
     return reports.count_rows({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _COUNTED})
 
 
-# events: user_id is the key; the event types are batches, one after the other.
-_BATCHES = [["click", "view", "error"], ["signup", "purchase"]]
+# events: user_id is the key; these event types are the first batch, all others the second.
+_FIRST_BATCH = ["click", "view", "error"]
 
 
 @query("upsert_posts", """SELECT user_id, event_id, event_type, value, props,
-    CAST(event_type IN ('signup', 'purchase') AS INTEGER) AS batch_seq FROM events
+    CAST(coalesce(event_type NOT IN ('click', 'view', 'error'), true) AS INTEGER) AS batch_seq FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY batch_seq DESC, event_id DESC) = 1""")
 def upsert_posts(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value", "props")
-    first, second = [
-        events.filter(F.col("event_type").isin(types)).withColumn("batch_seq", F.lit(i))
-        for i, types in enumerate(_BATCHES)
-    ]
+    is_first = F.coalesce(F.col("event_type").isin(_FIRST_BATCH), F.lit(False))
+    first = events.filter(is_first).withColumn("batch_seq", F.lit(0))
+    second = events.filter(~is_first).withColumn("batch_seq", F.lit(1))
     current = upsert.latest_per_key(first, ["user_id"], ["event_id"])
     return upsert.upsert(current, second, ["user_id"], ["event_id"])
 
@@ -229,8 +244,10 @@ def bootstrap(spark, sf_dir):
 @query("list_tables", f"{_FIVE} " + " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {s}" for t, s in _SOURCES.items()))
 def list_tables(spark, sf_dir):
-    """The tables the catalog lists for the schema, with their rows."""
+    """The tables the catalog lists for the schema, with their rows; all posts are replaced once."""
     store = _filled_store(spark, sf_dir)
+    again = store.read("posts").withColumn("content", F.lit("replaced"))
+    store.upsert_posts(again, 0, 1)
     database = f"monitor_{uuid.uuid4().hex}"
     store.register(database)
     names = [t.name for t in spark.catalog.listTables(database)]

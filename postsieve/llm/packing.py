@@ -16,7 +16,7 @@ from postsieve.llm.common import stored, text_or_empty
 
 BUCKETS = 12
 TOKEN_BUDGET = 65_536
-SHARD_ROWS = 50_000
+SHARD_ROWS = 8_192
 
 
 def word_count(text: Column) -> Column:

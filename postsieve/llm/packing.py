@@ -17,6 +17,7 @@ from postsieve.llm.common import stored, text_or_empty
 BUCKETS = 12
 TOKEN_BUDGET = 65_536
 SHARD_ROWS = 8_192
+SHARD_TOKENS = 4_000_000  # so that a shard of long documents fits a task, too
 
 
 def word_count(text: Column) -> Column:
@@ -76,10 +77,12 @@ def _assign(rows: DataFrame, names: list[str], buckets: int, budget: int, shard_
     """``names`` of ``rows`` with their places; needs n_tokens and the order ``_order``."""
     bins = histogram(rows)
     bounds = best_bounds(bins, buckets) or [0]
-    sizes = [0] * len(bounds)
-    for top, count, _ in bins:
-        sizes[next(k for k, bound in enumerate(bounds) if top <= bound)] += count
-    shards = [max(1, -(-size // shard_rows)) for size in sizes]
+    sizes, tokens = [0] * len(bounds), [0] * len(bounds)
+    for top, count, held in bins:
+        bucket = next(k for k, bound in enumerate(bounds) if top <= bound)
+        sizes[bucket] += count
+        tokens[bucket] += held
+    shards = [max(1, -(-n // shard_rows), -(-held // SHARD_TOKENS)) for n, held in zip(sizes, tokens, strict=True)]
     per_batch = [max(1, budget // max(1, bound)) for bound in bounds]
 
     def of_bucket(values: list[int]) -> Column:

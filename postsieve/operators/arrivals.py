@@ -31,7 +31,13 @@ def seen_among(batch: DataFrame, seen: DataFrame, key: str = "external_id") -> D
 
 
 def anti_seen_batch(batch: DataFrame, seen: DataFrame, key: str = "external_id") -> DataFrame:
-    """``anti_seen`` for a small batch: the seen set is not shuffled."""
+    """``anti_seen`` for a small batch: the seen set is not shuffled.
+
+    A small seen set is broadcast as it is, and the batch is read once.
+    """
+    ids = seen.select(key)
+    if fits_broadcast(ids):
+        return batch.join(F.broadcast(ids), key, "left_anti")
     return anti_seen(batch, seen_among(batch, seen, key), key)
 
 
@@ -79,33 +85,44 @@ def seen_union(*parts: DataFrame, key: str = "external_id") -> DataFrame:
     return reduce(lambda a, b: a.union(b), [p.select(key) for p in parts]).distinct()
 
 
-def match_first_seen(
+def tested_first_seen(
     candidates: DataFrame,
     keywords: DataFrame,
     seen: DataFrame | None = None,
     order: list[str] | None = None,
 ) -> DataFrame:
-    """Each new post, tested only with the keyword that delivered it first.
+    """Each new post once, with ``is_match``: whether it holds the keyword that
+    delivered it first.  A miss of that keyword is final, and has no text.
 
-    ``candidates`` carry ``keyword_id``; a miss of the first keyword is final.
-    The test runs before the shuffle, where candidates of one keyword still sit
-    together and its pattern is compiled once; texts of misses are not shuffled.
+    Seen ids go first if they may be broadcast, since in the long run they are most of what
+    arrives; else after the shuffle by id.  The test runs before that shuffle, where
+    candidates of one keyword still sit together and its pattern is compiled once.
     """
     dimension = keywords.select(
         F.col("id").alias("keyword_id"), "language", fold(F.col("keyword")).alias("_keyword")
     ).withColumn("_pattern", word_pattern(F.col("_keyword")))
     if fits_broadcast(dimension):
         dimension = F.broadcast(dimension)
+    early = seen is not None and fits_broadcast(seen.select("external_id"))
+    if early:
+        candidates = candidates.join(F.broadcast(seen.select("external_id")), "external_id", "left_anti")
     text = fold(F.col("text"))
     tested = (
         candidates.drop("language")
         .join(dimension, "keyword_id")
-        .withColumn("_hit", F.contains(text, F.col("_keyword")) & F.rlike(text, F.col("_pattern")))
-        .withColumn("text", F.when(F.col("_hit"), F.col("text")))
+        .withColumn("is_match", F.contains(text, F.col("_keyword")) & F.rlike(text, F.col("_pattern")))
+        .withColumn("text", F.when(F.col("is_match"), F.col("text")))
         .drop("_keyword", "_pattern")
     )
     first = first_arrival(tested, order=order)
-    if seen is not None:
-        first = anti_seen(first, seen)
-    return first.filter("_hit").drop("_hit")
+    return first if seen is None or early else anti_seen(first, seen)
 
+
+def match_first_seen(
+    candidates: DataFrame,
+    keywords: DataFrame,
+    seen: DataFrame | None = None,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Each new post that holds the keyword that delivered it first."""
+    return tested_first_seen(candidates, keywords, seen, order).filter("is_match").drop("is_match")

@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions.text import WORD, fold, gaps, word_pattern, words
-from postsieve.operators.sizing import BROADCAST_CHARS, BROADCAST_ROWS
+from postsieve.operators.sizing import BROADCAST_CHARS, BROADCAST_ROWS, fits_broadcast
 
 _SALTS = 16
 
+# Bare anchors are short: so many may be broadcast to cut the words of the texts down.
+_ANCHOR_ROWS = 2_000_000
+
 # From this many keywords with the same anchor on, other anchors are looked for.
 _CROWDED = 64
 
@@ -146,24 +149,35 @@ def _match_shuffled(
 ) -> DataFrame:
     """The join for a keyword table of any size.
 
-    Words are shuffled as bare (id, word) pairs.  A word that most texts contain
+    Words are shuffled as bare (id, word) pairs, and where the anchors fit a
+    broadcast only those that are an anchor.  A word that most texts contain
     would land in one task, so words are salted by post id and keywords copied
-    once per salt.  The pairs found meet the texts again by id and text, so rows that
-    share an id stay apart, and rows that share both are looked up once.  Texts
-    are shuffled, never broadcast by an estimate of their size.
+    once per salt.  The pairs found meet the rows again by id and text, so rows that
+    share an id stay apart, and rows that share both are looked up once.  Pairs that
+    the anchor proves need no text; for the others texts are shuffled, never
+    broadcast by an estimate of their size.
     """
     texts = texts.withColumn("_hash", F.xxhash64("_text"))
     salt = F.pmod(F.xxhash64(id_col, "_hash"), F.lit(_SALTS)).cast("int")
     tokens = texts.select(
         id_col, "_hash", salt.alias("_salt"), F.explode(_tokens(F.col("_text"), with_gaps)).alias("anchor")
     )
+    anchors = prepared.select("anchor").distinct()
+    if fits_broadcast(anchors, max_rows=_ANCHOR_ROWS):
+        tokens = tokens.join(F.broadcast(anchors), "anchor", "left_semi")
     # The join needs this placing anyway.
     tokens = tokens.repartition("anchor", "_salt").dropDuplicates()
     copies = prepared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    # Hashing the keywords spares sorting the many words.
-    found = tokens.join(copies.hint("shuffle_hash"), ["anchor", "_salt"])
     rest = texts.select(id_col, "_hash", "_text", *[c for c in payload if c != "language"])
-    return found.join(rest.hint("merge"), [id_col, "_hash"]).filter(_confirmed(F.col("_text")))
+
+    def met(keywords: DataFrame, rows: DataFrame) -> DataFrame:
+        # Hashing the keywords spares sorting the many words.
+        found = tokens.join(keywords.hint("shuffle_hash"), ["anchor", "_salt"])
+        return found.join(rows.hint("merge"), [id_col, "_hash"])
+
+    proven = met(copies.filter("is_proven"), rest.drop("_text"))
+    others = met(copies.filter(~F.col("is_proven")), rest).filter(_confirmed(F.col("_text")))
+    return proven.unionByName(others.drop("_text"))
 
 
 def match_all(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postsieve.functions.text import bind, fold, word_pattern
 from postsieve.operators.numbering import running_sum
+from postsieve.operators.sizing import fits_broadcast
 
 
 def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
@@ -67,10 +68,12 @@ def posts_by_category(
 ) -> DataFrame:
     """Posts with the keywords and categories they were found for.
 
-    The two small tables are joined first; the bridge then meets them and the
-    posts by id.
+    The two small tables are joined first and, while they fit, broadcast to the
+    bridge, where one keyword may have a third of all rows.  Posts are joined by id.
     """
     dimension = keywords.join(
         categories.select(F.col("id").alias("category_id"), "category"), "category_id"
     ).select(F.col("id").alias("keyword_id"), "category", "keyword")
-    return posts.join(bridge.join(dimension, "keyword_id"), "external_id")
+    if fits_broadcast(dimension):
+        dimension = F.broadcast(dimension)
+    return posts.join(bridge.join(dimension, "keyword_id").hint("merge"), "external_id")

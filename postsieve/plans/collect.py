@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsieve.functions.records import post_record
-from postsieve.operators.arrivals import ARRIVAL, anti_seen, first_arrival, match_first_seen
+from postsieve.operators.arrivals import ARRIVAL, anti_seen, first_arrival, tested_first_seen
 from postsieve.operators.keywords import expand_variants
 from postsieve.operators.match import match_all
 from postsieve.schemas import COUNTS, POSTS
@@ -17,6 +17,8 @@ class Collected(NamedTuple):
     """Matched post records with ``language`` and ``keyword_ids``."""
     seen: DataFrame
     """Ids of all new candidates, matched or not."""
+    base: DataFrame
+    """One row per new id, from which both are derived: persist it to use both."""
 
 
 def one_per_id(candidates: DataFrame) -> DataFrame:
@@ -25,10 +27,6 @@ def one_per_id(candidates: DataFrame) -> DataFrame:
     return first_arrival(candidates, order=order)
 
 
-def _new_ids(candidates: DataFrame, seen: DataFrame) -> DataFrame:
-    return anti_seen(candidates.select("external_id").distinct(), seen)
-
-
 def collect_all(
     candidates: DataFrame, keywords: DataFrame, seen: DataFrame, lemmas: DataFrame | None = None
 ) -> Collected:
@@ -46,7 +44,7 @@ def collect_all(
     carry = ["text", "created_at", *COUNTS, "labels", "embed"]
     matched = match_all(unseen, keywords, text_col="text", carry=carry)
     record = post_record(matched).select(*POSTS.names, "keyword_ids")
-    return Collected(record, _new_ids(candidates, seen))
+    return Collected(record, unseen.select("external_id"), unseen)
 
 
 def collect_first_seen(candidates: DataFrame, keywords: DataFrame, seen: DataFrame) -> Collected:
@@ -54,7 +52,7 @@ def collect_first_seen(candidates: DataFrame, keywords: DataFrame, seen: DataFra
 
     Candidates of a keyword that is not stored count as not delivered.
     """
-    known = candidates.join(keywords.select(F.col("id").alias("keyword_id")), "keyword_id", "left_semi")
-    matched = match_first_seen(known, keywords, seen)
-    record = post_record(matched.withColumn("keyword_ids", F.array("keyword_id")))
-    return Collected(record.select(*POSTS.names, "keyword_ids"), _new_ids(known, seen))
+    tested = tested_first_seen(candidates, keywords, seen)
+    matched = tested.filter("is_match").withColumn("keyword_ids", F.array("keyword_id"))
+    record = post_record(matched).select(*POSTS.names, "keyword_ids")
+    return Collected(record, tested.select("external_id"), tested)

@@ -54,3 +54,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()]

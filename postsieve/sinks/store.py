@@ -4,7 +4,8 @@ Every write goes to its own partition ``run=<r>/epoch=<e>`` and replaces what an
 earlier attempt at the same batch left there, so a replay changes nothing and no
 write touches old data.  Posts keep their versions; readers take the newest one.
 Seen ids and post-keyword links are inserted only if no earlier batch holds them.
-One writer at a time.
+``compact`` rewrites many small batches into one folder, after which readers skip
+their partitions.  One writer at a time.
 """
 
 from functools import reduce
@@ -17,6 +18,7 @@ from postsieve.operators.arrivals import anti_seen_batch
 from postsieve.operators.sizing import fits_broadcast
 from postsieve.operators.upsert import latest_per_key
 from postsieve.schemas import TABLES
+from postsieve.session import child_folders, path_exists
 
 _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.LongType())]
 
@@ -63,7 +65,44 @@ class Store:
     def versions(self, table: str) -> DataFrame:
         """All rows with the run and epoch that wrote them."""
         schema = T.StructType(TABLES[table].fields + _VERSION)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        rows = self.spark.read.schema(schema).parquet(self.path(table))
+        bound = self._compacted_before(table)
+        if bound is None:
+            return rows
+        run, epoch = bound
+        later = rows.filter((F.col("run") > run) | ((F.col("run") == run) & (F.col("epoch") >= epoch)))
+        return self.spark.read.schema(schema).parquet(self._compact_path(table, run, epoch)).unionByName(later)
+
+    def _compact_path(self, table: str, run: int, epoch: int) -> str:
+        return f"{self.path(table)}/_compacted/{run}-{epoch}"
+
+    def _compacted_before(self, table: str) -> tuple[int, int] | None:
+        """The batch before which all is compacted; folders without ``_SUCCESS`` do not count."""
+        names = child_folders(self.spark, f"{self.path(table)}/_compacted")
+        bounds = [tuple(int(n) for n in name.split("-")) for name in names]
+        done = [b for b in bounds if path_exists(self.spark, f"{self._compact_path(table, *b)}/_SUCCESS")]
+        return max(done, default=None)
+
+    def compact(self, table: str) -> bool:
+        """Rewrite all batches before the newest one, in order of the id; of posts only
+        the newest version stays.  Returns whether there was anything to do.
+
+        The newest batch may yet be done again and stays as it is.  The new folder counts
+        once it is complete, so a broken compaction changes nothing.  The partitions
+        it replaces are read no more, and kept for views registered before.
+        """
+        rows = self.versions(table)
+        newest = rows.agg(F.max(F.struct("run", "epoch"))).first()[0]
+        if newest is None or tuple(newest) == self._compacted_before(table):
+            return False
+        earlier = self.before(table, newest.run, newest.epoch)
+        if table == "posts":
+            earlier = latest_per_key(earlier, ["external_id"], ["run", "epoch"])
+        key = TABLES[table].names[0]
+        earlier.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(
+            self._compact_path(table, newest.run, newest.epoch)
+        )
+        return True
 
     def before(self, table: str, run: int, epoch: int) -> DataFrame:
         """What earlier batches wrote; later and own partitions are not read."""

@@ -49,6 +49,8 @@ def write_batch(
     seen = seen_among(candidates, store.before("scanned_posts", run, epoch))
     options = {"lemmas": lemmas} if mode == "all" else {}
     collected = MODES[mode](candidates, keywords, seen, **options)
+    # Both are used more than once; the batch itself is read for them only once.
+    base = collected.base.persist(StorageLevel.MEMORY_AND_DISK)
     matched = collected.posts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {
@@ -58,6 +60,7 @@ def write_batch(
         }
     finally:
         matched.unpersist()
+        base.unpersist()
 
 
 def ingest_posts(

@@ -33,7 +33,9 @@ def sequential_first_seen(rows, seen):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_match_first_seen_equals_the_loop(spark, seed):
+@pytest.mark.parametrize("small", [True, False])
+def test_match_first_seen_equals_the_loop(spark, monkeypatch, seed, small):
+    monkeypatch.setattr(arrivals, "fits_broadcast", lambda df: small)
     rows = feed(seed)
     shuffled = random.Random(seed).sample(rows, len(rows))
     seen = ["id3", "id7", "id11"]

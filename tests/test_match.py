@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from postsieve.operators import match
+from postsieve.operators import match, reports
 from tests.test_text import WORD_CASES, odd_text, python_match
 
 WORDS = ["art", "caf", "café", "été", "real", "estate", "the", "c", "x", "l", "ai", "aimé", "²x", "art_x"]
@@ -125,3 +125,39 @@ def test_odd_texts_equal_python(spark, options):
     keywords = [(i, odd_text(rng, rng.randint(1, 4)).lower(), "en") for i in range(120)]
     rows = match.match_pairs(*frames(spark, posts, keywords), **options).collect()
     assert {(r.external_id, r.keyword_id) for r in rows} == python_pairs(posts, keywords)
+
+
+def broadcast_columns(frame):
+    """The columns of every side that the plan broadcasts."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    return [lines[i + 1] for i, line in enumerate(lines) if "BroadcastExchange" in line]
+
+
+def test_the_shuffled_way_broadcasts_no_texts(spark):
+    posts, keywords = samples(1)
+    pairs = match.match_pairs(*frames(spark, posts, keywords), max_broadcast_rows=0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2
+    # What is broadcast are bare anchors, which cut the words down before their shuffle.
+    assert broadcast_columns(pairs)
+    assert not any("_text" in side or "external_id" in side for side in broadcast_columns(pairs))
+
+
+@pytest.mark.parametrize("bound", [0, 2_000_000])
+def test_anchors_too_many_to_broadcast(spark, monkeypatch, bound):
+    monkeypatch.setattr(match, "_ANCHOR_ROWS", bound)
+    posts, keywords = samples(4)
+    rows = match.match_pairs(*frames(spark, posts, keywords), max_broadcast_rows=0).collect()
+    assert sorted((r.external_id, r.keyword_id) for r in rows) == sorted(python_pairs(posts, keywords))
+
+
+def test_posts_by_category_broadcasts_only_the_dimension(spark):
+    posts = spark.createDataFrame([("a", "en"), ("b", "fr")], "external_id string, lang string")
+    bridge = spark.createDataFrame([("a", 1), ("b", 2), ("a", 2)], "external_id string, keyword_id long")
+    keywords = spark.createDataFrame([(1, 10, "x"), (2, 11, "y")], "id long, category_id long, keyword string")
+    categories = spark.createDataFrame([(10, "law"), (11, "art")], "id long, category string")
+    found = reports.posts_by_category(posts, bridge, keywords, categories)
+    assert not any("external_id" in side for side in broadcast_columns(found))
+    got = sorted((r.external_id, r.category, r.keyword) for r in found.collect())
+    assert got == [("a", "art", "y"), ("a", "law", "x"), ("b", "art", "y")]

@@ -207,3 +207,39 @@ def test_reports(spark):
     assert [r.external_id for r in reports.filter_eq(texts, "content", "u").collect()] == ["q"]
     assert [r.id for r in reports.head_n(keywords, ["id"], 2).collect()] == [1, 2]
     assert {r.table_name: r.n_rows for r in reports.count_rows({"t": texts, "b": bridge}).collect()} == {"t": 2, "b": 3}
+
+
+def test_compaction_changes_no_rows(spark, store):
+    assert not store.compact("posts")
+    store.upsert_posts(posts(spark, [("a", "x", 1), ("b", "y", 1)]), 0, 0)
+    store.upsert_posts(posts(spark, [("a", "x", 2)]), 0, 1)
+    store.upsert_posts(posts(spark, [("c", "z", 3)]), 1, 0)
+    assert store.compact("posts") and not store.compact("posts")
+    assert likes(store) == {"a": 2, "b": 1, "c": 3}
+    # Only the newest versions are read, and the batch that may come again.
+    assert store.versions("posts").count() == 3
+    store.upsert_posts(posts(spark, [("c", "z", 4)]), 1, 0)
+    store.upsert_posts(posts(spark, [("b", "y", 5)]), 1, 1)
+    assert likes(store) == {"a": 2, "b": 5, "c": 4}
+    assert store.compact("posts")
+    assert likes(store) == {"a": 2, "b": 5, "c": 4}
+    store.bootstrap(reset=True)
+    assert likes(store) == {}
+
+
+def test_compacted_ids_are_known(spark, store):
+    for epoch, ids in enumerate([["a", "b"], ["c"], ["d"]]):
+        store.insert_seen(spark.createDataFrame([(i,) for i in ids], "external_id string"), 0, epoch)
+    assert store.compact("scanned_posts")
+    more = spark.createDataFrame([("a",), ("d",), ("e",)], "external_id string")
+    assert store.insert_seen(more, 0, 3) == 1
+    assert sorted(r[0] for r in store.read("scanned_posts").collect()) == list("abcde")
+
+
+def test_a_broken_compaction_does_not_count(spark, store):
+    store.insert_seen(spark.createDataFrame([("a",)], "external_id string"), 0, 0)
+    store.insert_seen(spark.createDataFrame([("b",)], "external_id string"), 0, 1)
+    os.makedirs(store.path("scanned_posts") + "/_compacted/0-1")
+    assert sorted(r[0] for r in store.read("scanned_posts").collect()) == ["a", "b"]
+    assert store.compact("scanned_posts")
+    assert sorted(r[0] for r in store.read("scanned_posts").collect()) == ["a", "b"]

@@ -9,9 +9,9 @@ from postsieve.functions.text import (
     url_parts,
     word_pattern,
 )
-from postsieve.operators import arrivals, match, reports, upsert
+from postsieve.operators import arrivals, keywords as kw, match, reports, upsert
 from workload import inputs
-from workload.inputs import HOLDS, WITH_MARKS, table, union, with_sql
+from workload.inputs import CTES, HOLDS, LEMMAS_SQL, VOCABULARY_SQL, WITH_MARKS, table, union, with_sql
 from workload.registry import query
 
 _ALL_KEYWORDS = f"""all_keywords AS (SELECT *, {WITH_MARKS} AS marked FROM (
@@ -63,6 +63,26 @@ def match_all(spark, sf_dir):
     return _match_all(spark, sf_dir)
 
 
+@query(
+    "match_variants",
+    rf"""WITH {VOCABULARY_SQL}, {LEMMAS_SQL}, {CTES['watched']}, {CTES['posts']},
+        lowered AS (SELECT id, lower(keyword) AS keyword, language, split_part(lower(keyword), ' ', 1) AS head FROM watched),
+        variants AS (SELECT k.id, k.language, unnest([k.keyword,
+            CASE WHEN k.language = 'en' AND regexp_matches(k.keyword, '(s|x|z|ch|sh)$') THEN k.keyword || 'es'
+                 WHEN k.language = 'en' OR (k.language = 'fr' AND NOT regexp_matches(k.keyword, '[sxz]$'))
+                 THEN k.keyword || 's' ELSE k.keyword END,
+            CASE WHEN k.language IN ('en', 'fr') THEN coalesce(d.lemma, k.head) ELSE k.keyword END]) AS keyword
+            FROM lowered k LEFT JOIN lemmas d ON d.token = k.head AND d.language = k.language),
+        all_keywords AS (SELECT DISTINCT *, {WITH_MARKS} AS marked FROM variants)
+        SELECT external_id, arg_min(k.language, k.id) AS language, list_sort(list(DISTINCT k.id)) AS keyword_ids
+        FROM posts p, all_keywords k WHERE {HOLDS} GROUP BY external_id""",
+)
+def match_variants(spark, sf_dir):
+    """Watched keywords, their plurals and their lemmas."""
+    forms = kw.expand_variants(inputs.watched(spark), inputs.lemmas(spark, sf_dir))
+    return match.match_all(inputs.posts(spark, sf_dir), forms, text_col="text")
+
+
 @query(
     "filter_word",
     r"""SELECT doc_id FROM documents
@@ -346,13 +366,14 @@ def running_total(spark, sf_dir):
 )
 def posts_by_category(spark, sf_dir):
     keywords = all_keywords(spark, sf_dir)
-    names = keywords.select("category").distinct()
-    categories = names.withColumn("id", F.col("category"))
-    bridge = upsert.bridge_rows(_match_all(spark, sf_dir))
+    none = spark.createDataFrame([], "id long, category string")
+    # Numbered in the order of their lowest keyword.
+    categories = kw.category_get_or_create(none, keywords.select(F.col("id").alias("input_seq"), "category"))
+    numbered = kw.category_lookup(keywords, categories, "category").select("id", "category_id", "keyword")
     found = reports.posts_by_category(
         inputs.posts(spark, sf_dir).select("external_id", "lang"),
-        bridge,
-        keywords.withColumnRenamed("category", "category_id").drop("language"),
+        upsert.bridge_rows(_match_all(spark, sf_dir)),
+        numbered,
         categories,
     )
     return found.select("external_id", "lang", "category", "keyword")

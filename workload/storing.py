@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from postsieve import schemas
 from postsieve.operators import integrity, reports, upsert
 from postsieve.sinks.csv_posts import append_unseen_csv
-from postsieve.sinks.store import Store
+from postsieve.sinks.store import BATCH_TABLES, Store
 from postsieve.session import work_folder
 from postsieve.sources import files
 from postsieve.sources.feeds import stream_candidates
@@ -263,7 +263,7 @@ def _landing(rows):
     return rows.select(*schemas.CANDIDATES.names)
 
 
-def _ingest(spark, sf_dir):
+def _ingest(spark, sf_dir, compacted=False):
     """Two feeds land as files and are ingested one after the other."""
     store = Store(spark, _new_folder(spark, "store"))
     store.bootstrap()
@@ -274,6 +274,9 @@ def _ingest(spark, sf_dir):
         _landing(feed).write.parquet(folder)
         stream = stream_candidates(spark, folder)
         ingest_posts(stream, keywords, store, _new_folder(spark, "checkpoint"))
+        if compacted:
+            for name in BATCH_TABLES:
+                store.compact(name)
     return store
 
 
@@ -285,16 +288,28 @@ _NEW_POSTS = f"""{with_sql('watched', 'posts', 'turns')}, all_keywords AS (SELEC
     pairs AS (SELECT p.external_id, p.text, k.id, k.language FROM arrived p, all_keywords k WHERE {HOLDS})"""
 
 
-@query("ingest_posts", f"""{_NEW_POSTS} SELECT external_id, lower(text) AS content, arg_min(language, id) AS language,
+_INGESTED = f"""{_NEW_POSTS} SELECT external_id, lower(text) AS content, arg_min(language, id) AS language,
     0 AS like_count, '[]' AS labels, 'null' AS embed, CAST(count(*) AS BIGINT) AS n_links
-    FROM pairs GROUP BY external_id, text""")
-def ingest(spark, sf_dir):
-    store = _ingest(spark, sf_dir)
+    FROM pairs GROUP BY external_id, text"""
+
+
+def _posts_with_links(store):
     links = store.read("post_keywords").groupBy("external_id").agg(F.count("*").alias("n_links"))
     posts = store.read("posts").select("external_id", "content", "language", "like_count", "labels", "embed")
     return posts.join(links, "external_id")
 
 
+@query("ingest_posts", _INGESTED)
+def ingest(spark, sf_dir):
+    return _posts_with_links(_ingest(spark, sf_dir))
+
+
+@query("ingest_compacted", _INGESTED)
+def ingest_compacted(spark, sf_dir):
+    """The same with a compaction after each feed."""
+    return _posts_with_links(_ingest(spark, sf_dir, compacted=True))
+
+
 @query("ingest_seen", f"{with_sql('posts', 'turns')} SELECT external_id FROM posts UNION SELECT external_id FROM turns")
 def ingest_seen(spark, sf_dir):
     return _ingest(spark, sf_dir).read("scanned_posts")

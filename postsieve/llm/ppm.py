@@ -11,6 +11,7 @@ whole distribution behind a context, and scoring reads one cell per byte.
 from __future__ import annotations
 
 import struct
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -192,7 +193,7 @@ def collect_trie(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> tuple:
     return _collected(order3), _collected(order2)
 
 
-_MODELS: dict[int, tuple] = {}
+_MODELS: dict[str, tuple] = {}
 
 
 def score_documents(docs: DataFrame, held_out: int = 10, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
@@ -213,7 +214,7 @@ def score_documents(docs: DataFrame, held_out: int = 10, max_contexts: int = MAX
     heavy = frequent(tokens, HEAVY_WORDS).toPandas()
     logs = dict(zip(map(bytes, heavy["word"]), np.log10(heavy["c"].to_numpy(dtype=np.float64) + 0.1), strict=True))
     shared = spark.sparkContext.broadcast((collect_trie(counts, max_contexts), logs))
-    number = id(shared) ^ hash(str(spark.sparkContext.startTime))
+    number = uuid.uuid4().hex  # names this model in workers that live on
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if number not in _MODELS:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from postsieve.llm import dom
 from postsieve.llm.common import small, stored
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32_000_000
 SALTS = 16
 # A slot is constant if one text fills it on this share of at least so many pages, or if
 # many pages share few texts.
@@ -159,7 +159,9 @@ def extract(pages: DataFrame) -> DataFrame:
         blocks,
         f"page_id {kinds['page_id']}, url string, host string, skeleton string, slots array<int>, texts array<string>",
     )
-    wrappers = F.broadcast(wrappers) if small(wrappers, BROADCAST_ROWS) else wrappers
+    size = wrappers.agg(F.sum(F.length("skeleton") + F.size("keep"))).first()[0] or 0
+    if size <= BROADCAST_CHARS and small(wrappers, BROADCAST_ROWS):
+        wrappers = F.broadcast(wrappers)
     text = F.expr("array_join(filter(texts, (t, k) -> keep[slots[k]]), '\\n')")
     joined = parsed.join(wrappers, ["host", "skeleton"], "left").select("page_id", "url", F.coalesce(text, F.lit("")).alias("text"))
     return joined.withColumn("n_chars", F.char_length("text").cast("long"))

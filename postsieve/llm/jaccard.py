@@ -198,15 +198,18 @@ def _probable_links(batches: Iterator[pd.DataFrame], needed: list[tuple[int, int
             yield compare(waiting.iloc[start:end].reset_index(drop=True))
 
 
-def _whole_groups(rows: pd.DataFrame, size: int = 8192) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``size`` rows that end where a group ends."""
+def _whole_groups(rows: pd.DataFrame, size: int = 8192, pairs: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of whole groups, of about ``size`` rows and ``pairs`` pairs at most, or one group."""
     keys = rows[["key", "i", "j"]].to_numpy()
     ends = np.append(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(rows))
-    start = 0
-    while start < len(rows):
-        end = int(ends[min(len(ends) - 1, np.searchsorted(ends, start + size))])
-        yield start, end
-        start = end
+    members = np.diff(ends, prepend=0)
+    filled = np.cumsum(np.maximum(members / size, members * (members - 1) / (2 * pairs)))
+    at = 0
+    while at < len(ends):
+        done = filled[at - 1] if at else 0.0
+        stop = max(at + 1, int(np.searchsorted(filled, done + 1, side="right")))
+        yield int(ends[at] - members[at]), int(ends[stop - 1])
+        at = stop
 
 
 def _exact_links(threshold: float):
@@ -220,7 +223,7 @@ def _exact_links(threshold: float):
         place, owner = place[shared], owner[shared]
         columns, place = np.unique(place, return_inverse=True)
         common = np.zeros((len(sets), len(sets)), dtype=np.float32)
-        width = max(1, _CELLS // len(sets))
+        width = max(1, min(len(columns), _CELLS // len(sets)))
         order = np.argsort(place, kind="stable")
         place, owner = place[order], owner[order]
         for at in range(0, len(columns), width):

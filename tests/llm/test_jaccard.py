@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 
 from postsieve.llm import jaccard
 from postsieve.llm.components import components
@@ -116,3 +117,16 @@ def test_odd_documents(spark):
     assert links == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (4, 1), (5, 0), (6, 0)]
     assert jaccard.near_duplicate_report(docs.limit(0)).count() == 0
     assert jaccard.keep_one_per_class(docs).count() == 8
+
+
+def test_chunks_are_whole_groups_of_bounded_pairs():
+    sizes = [1, 2, 600, 3, 3, 50, 1, 400, 400, 2]
+    rows = pd.DataFrame({"key": np.repeat(np.arange(len(sizes)), sizes), "i": 0, "j": 0})
+    chunks = list(jaccard._whole_groups(rows, size=500, pairs=2000))
+    assert [s for s, _ in chunks] == [0] + [e for _, e in chunks[:-1]] and chunks[-1][1] == len(rows)
+    for start, end in chunks:
+        members = rows["key"][start:end].value_counts()
+        assert (members == [sizes[k] for k in members.index]).all()
+        assert len(members) == 1 or (len(rows[start:end]) <= 500 and (members * (members - 1) / 2).sum() <= 2000)
+    # The first eight groups have 260,732 pairs; the ninth would go beyond 2**18.
+    assert list(jaccard._whole_groups(rows)) == [(0, 1060), (1060, 1462)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from postsieve.llm import jaccard, langid, linededup, packing
-from postsieve.llm.common import ship_package, stored
+from postsieve.llm.common import prepare, stored
 from pyspark.sql import DataFrame, SparkSession
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,25 +18,25 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents in no language."""
-    ship_package(spark)
+    prepare(spark)
     return langid.keep_languages(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without lines that other documents keep; n_chars follows the text."""
-    ship_package(spark)
+    prepare(spark)
     return linededup.dedup_lines(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    ship_package(spark)
+    prepare(spark)
     return jaccard.keep_one_per_class(docs)
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, with its place in a batch."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack(docs)
 
 

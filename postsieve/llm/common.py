@@ -30,6 +30,22 @@ def stored(df: DataFrame) -> DataFrame:
 
 _SHIPPED: set[str] = set()
 
+ARROW_ROWS = 1_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and bound the Arrow batches of the session by ``ARROW_ROWS`` rows.
+
+    Every core of an executor holds some batches outside the heap, and again in its
+    Python worker; ten thousand whole texts would be most of that.  A smaller bound
+    of the session stays.
+    """
+    ship_package(spark)
+    rows = int(spark.conf.get(_ARROW_ROWS))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
+
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, where it is not installed."""

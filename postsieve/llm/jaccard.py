@@ -183,10 +183,8 @@ def _probable_links(batches: Iterator[pd.DataFrame], needed: list[tuple[int, int
         return pd.DataFrame({"a": nodes[moved], "b": nodes[labels[moved]]})
 
     waiting = None
-    for batch in batches:
+    for batch in _gathered(batches):
         rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
-        if not len(rows):
-            continue
         last = (rows[["key", "i", "j"]] == rows[["key", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
         cut = len(rows) - int(last[::-1].argmin()) if not last.all() else 0
         if cut:
@@ -198,6 +196,19 @@ def _probable_links(batches: Iterator[pd.DataFrame], needed: list[tuple[int, int
             yield compare(waiting.iloc[start:end].reset_index(drop=True))
 
 
+def _gathered(batches: Iterator[pd.DataFrame], size: int = 8192) -> Iterator[pd.DataFrame]:
+    """The rows of ``batches`` in frames of ``size`` rows or little more; none is empty."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, rows = [], 0
+    if rows:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _whole_groups(rows: pd.DataFrame, size: int = 8192, pairs: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of whole groups, of about ``size`` rows and ``pairs`` pairs at most, or one group."""
     keys = rows[["key", "i", "j"]].to_numpy()

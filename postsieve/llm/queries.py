@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from postsieve.llm import bpe, fingerprint, html, jaccard, langid, licenses, linededup, packing, ppm, topk
-from postsieve.llm.common import ship_package
+from postsieve.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +19,7 @@ SQL: dict[str, str] = {"op3_line_dedup": linededup.SQL, "op5_threshold_topk": to
 def query(function: Query) -> Query:
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

@@ -1,6 +1,6 @@
 import pytest
 
-from postsieve.llm.common import ship_package
+from postsieve.llm.common import prepare
 
 # Cases every operator meets: NULLs in every column, empty and long texts, repeated rows.
 LONG = "one two three four five six seven eight nine ten " * 4000
@@ -8,7 +8,7 @@ LONG = "one two three four five six seven eight nine ten " * 4000
 
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):
-    ship_package(spark)
+    prepare(spark)
 
 
 def frame(spark, rows, schema="doc_id long, text string, lang string, source string, n_chars long"):

@@ -29,9 +29,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies, and one of all that line dedup left without words."""
     prepare(spark)
-    return jaccard.keep_one_per_class(docs)
+    return jaccard.keep_one_per_class(docs, join_wordless=True)
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

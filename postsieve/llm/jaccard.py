@@ -268,15 +268,18 @@ def _checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if small(df, BROADCAST_ROWS) else df
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, join_wordless: bool = False
+) -> DataFrame:
     """Per document: doc_id, th (hash of the text), class_id, n_links, n_similar_texts.
 
     Two documents are linked if the Jaccard similarity of their shingle sets is at
     least ``threshold`` (0.8 or more).  A class is a connected group; its id is its
     least doc_id.  ``n_links`` counts linked documents, copies included, and
     ``n_similar_texts`` linked texts with another shingle set.  A text without words has
-    no shingles and is a class of its own, as is every row without doc_id that is no
-    copy of another.  Rows that repeat a doc_id and its text are separate links of
+    no shingles, thus no links, and is a class of its own; with ``join_wordless`` all such
+    texts, whose shingle sets are equal, are one class.  Every row without doc_id that is
+    no copy of another is a class of its own, too.  Rows that repeat a doc_id and its text are separate links of
     one class.
     """
     rows = _read(docs)
@@ -350,10 +353,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         )
     )
     info = _checked(stored(info))
-    return prints.select("doc_id", "th", "d1").join(info, "d1", "left").select(
+    alone = F.col("doc_id")
+    if join_wordless:
+        least = prints.where("n = 0").agg(F.min("doc_id")).first()[0]
+        alone = F.when(F.col("n") == 0, F.lit(least).cast("long")).otherwise(alone)
+    return prints.select("doc_id", "th", "n", "d1").join(info, "d1", "left").select(
         "doc_id",
         "th",
-        F.coalesce("class_rep", "doc_id").alias("class_id"),
+        F.coalesce(F.col("class_rep"), alone).alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_similar_texts"),
     )
@@ -364,14 +371,14 @@ def near_duplicate_report(docs: DataFrame, threshold: float = THRESHOLD) -> Data
     return near_duplicates(docs, threshold).drop("th")
 
 
-def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD, join_wordless: bool = False) -> DataFrame:
     """The rows of ``docs`` without those whose class has a smaller doc_id.
 
-    Rows without doc_id stay; rows that repeat a doc_id are one document and share
+    Texts without words all stay, or with ``join_wordless`` one of them.  Rows without doc_id stay; rows that repeat a doc_id are one document and share
     its fate.
     """
     names = list(docs.columns)
-    found = near_duplicates(docs, threshold).where("doc_id <> class_id").select(
+    found = near_duplicates(docs, threshold, join_wordless=join_wordless).where("doc_id <> class_id").select(
         F.col("doc_id").alias("_gone"), F.col("th").alias("_th")
     )
     gone = _checked(stored(found.distinct()))

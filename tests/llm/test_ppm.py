@@ -93,6 +93,22 @@ def test_pruned_contexts_use_their_suffix(spark):
     assert ppm.score_documents(docs, max_contexts=3).where("score < 0").count() == len(rows())
 
 
+def test_contexts_beyond_the_table_are_joined(spark):
+    texts = [*TEXTS, "naïve 中文 テスト text", "中文 中国 テレビ", "a cab a car a can"]
+    data = [(n, texts[n % len(texts)]) for n in range(60)] + [(100, "wholly unseen wordś 中国"), (None, "no id a cap 文中")]
+    docs = frame(spark, [(d, t, "en", "s", 0) for d, t in data])
+    score = byte_model([t for d, t in data if trained(d)])
+    whole = {r["doc_id"]: r for r in ppm.score_documents(docs).collect()}
+    for bound in (1, 3, 40):
+        found = {r["doc_id"]: r for r in ppm.score_documents(docs, max_contexts=bound).collect()}
+        assert len(found) == len(data)
+        for doc_id, text in data:
+            row = found[doc_id]
+            assert row["score"] == pytest.approx(score(text), rel=1e-4)
+            assert (row["n_tokens"], row["n_known"]) == (whole[doc_id]["n_tokens"], whole[doc_id]["n_known"])
+            assert row["base_score"] == pytest.approx(whole[doc_id]["base_score"])
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     assert ppm.score_documents(docs).count() == 8

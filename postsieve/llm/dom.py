@@ -91,6 +91,11 @@ def is_dropped(label: str) -> bool:
     return any(part in _DROPPED_WORDS for word in words for part in re.split(r"[-_:]+", word))
 
 
+def is_named(label: str) -> bool:
+    """Whether a whole word of class or id, but for its number, says that an element is no article."""
+    return any(re.sub(r"[-_:]*0$", "", word) in _DROPPED_WORDS for word in _marks(label)[1])
+
+
 def landmark(label: str) -> int:
     """How clearly an element is the article: 3, 2, 1, or 0 for not at all."""
     tag, words, roles = _marks(label)
@@ -272,12 +277,12 @@ def merge(template: Node, page: Node) -> Node:
     return template
 
 
-def kept(skeleton: Node, constant: set[int]) -> list[bool]:
+def kept(skeleton: Node, constant: set[int], filled: set[int] | None = None) -> list[bool]:
     """Per node in page order, whether its blocks belong to the article.
 
-    ``constant`` are the nodes whose text is the same all over the host.  If the page marks
-    an article, the article counts; elements that are no article by tag, class or role
-    go, unless the article is inside them, and so do constant nodes outside of it.
+    ``constant`` are the nodes whose text is the same all over the host; they go wherever
+    they are.  ``filled`` are the nodes that have text on some page, or all.  Elements that are no article by tag, class or role go, unless the article is
+    inside them.  Of what is left, only what the page marks as article counts, if it marks any.
     """
     nodes = order(skeleton)
     parent = [-1] * len(nodes)
@@ -286,8 +291,22 @@ def kept(skeleton: Node, constant: set[int]) -> list[bool]:
             parent[child.number] = node.number
     rank = [landmark(node.label) for node in nodes]
     dropped = [is_dropped(node.label) for node in nodes]
+    # The highest mark above each node, whether something above is dropped, and the highest
+    # mark of the page that no dropped element is or holds.
+    above, hidden, plain = [0] * len(nodes), [False] * len(nodes), 0
+    for k in range(1, len(nodes)):
+        up = parent[k]
+        above[k], hidden[k] = max(above[up], rank[up]), hidden[up] or dropped[up]
+    for k, found in enumerate(rank):
+        if not (dropped[k] or hidden[k]):
+            plain = max(plain, found)
+    # An article that is marked as something else, too, counts only if it is in no article and there
+    # is no plainer one; a comment that says so in a whole word counts in nothing that is marked.
+    for k, found in enumerate(rank):
+        if dropped[k] and (found == 1 or found > max(plain, above[k]) and not (above[k] and is_named(nodes[k].label))):
+            dropped[k] = False
     for number, found in enumerate(rank):
-        if found >= 2:
+        if found >= 2 and found > plain and found > above[number] and not dropped[number]:
             up = parent[number]
             while up >= 0 and rank[up] < 2:
                 dropped[up] = dropped[up] and _marks(nodes[up].label)[0] in ("aside", "footer", "nav", "head")
@@ -298,6 +317,10 @@ def kept(skeleton: Node, constant: set[int]) -> list[bool]:
         inside[k] = max(rank[k], inside[up] if up >= 0 else 0)
         # The header of an article is part of it.
         heading = up >= 0 and inside[up] and _marks(node.label)[0] == "header"
-        gone[k] = (up >= 0 and gone[up]) or (dropped[k] and not rank[k] and not heading)
-    best = max((inside[k] for k in range(len(nodes)) if not gone[k]), default=0)
-    return [not gone[k] and (inside[k] >= best if best else k not in constant) for k in range(len(nodes))]
+        gone[k] = (up >= 0 and gone[up]) or (dropped[k] and not heading)
+    varying = [k for k in range(len(nodes)) if not gone[k] and k not in constant]
+    best = max((inside[k] for k in varying if filled is None or k in filled), default=0)
+    out = [False] * len(nodes)
+    for k in varying:
+        out[k] = inside[k] >= best
+    return out

@@ -2,8 +2,8 @@
 
 Pages of a host are brought onto one template: their trees are aligned by simple tree
 matching.  Template nodes whose text is (nearly) the same on all pages, or goes
-through a few variants, are the host's frame; the slots that vary are content.  Tags,
-classes and roles say which content is the article.
+through a few variants, are the host's frame, inside of a marked article, too; the slots
+that vary are content.  Tags, classes and roles say which of them are the article.
 
 What is compared are skeletons.  Their number is small where pages are made by
 machine, and only different (host, skeleton) pairs are aligned, so a host with a
@@ -90,9 +90,10 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keeps = []
-        for skeleton, nodes, constant in zip(batch["skeleton"], batch["nodes"], batch["constant"]):  # noqa: B905
-            frame = set() if constant is None else set(constant)
-            keeps.append(dom.kept(dom.read(skeleton), {k for k, node in enumerate(nodes) if node in frame}))
+        columns = (batch[c] for c in ("skeleton", "nodes", "constant", "filled"))
+        for skeleton, nodes, *sets in zip(*columns):  # noqa: B905
+            found = [set() if s is None else set(s) for s in sets]
+            keeps.append(dom.kept(dom.read(skeleton), *({k for k, node in enumerate(nodes) if node in s} for s in found)))
         yield batch[["host", "skeleton"]].assign(keep=keeps)
 
 
@@ -131,8 +132,10 @@ def induce(pages: DataFrame) -> DataFrame:
     )
     same = (F.col("pages") >= CONSTANT_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("pages"))
     few = (F.col("pages") >= VARIANT_PAGES) & (F.col("texts") <= VARIANT_SHARE * F.col("pages"))
-    constant = fills.where((F.col("node") >= 0) & (same | few)).groupBy("host").agg(F.collect_set("node").alias("constant"))
-    return aligned.join(constant, "host", "left").mapInPandas(_decided, "host string, skeleton string, keep array<boolean>")
+    slots = fills.where("node >= 0").groupBy("host").agg(
+        F.collect_set(F.when(same | few, F.col("node"))).alias("constant"), F.collect_set("node").alias("filled")
+    )
+    return aligned.join(slots, "host", "left").mapInPandas(_decided, "host string, skeleton string, keep array<boolean>")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -33,6 +33,37 @@ def test_article_marks_win(spark):
     assert extract(spark, [(1, "u", page)])[1]["text"] == "Head & tail\nOne two\nthree\na\nb"
 
 
+def test_constant_nodes_go_inside_the_article_too(spark):
+    page = (
+        "<body><article><p>Story {n} tells.</p><div class=box>Write to us every day</div><blockquote>Quote {n}</blockquote>"
+        "<div class=talk><article class='comment'><p>I disagree {n}</p></article></div>"
+        "<div class=comments><article><p>Me too {n}</p></article></div></article></body>"
+    )
+    found = extract(spark, [(n, "http://a.example/", page.format(n=n)) for n in range(6)])
+    for n in range(6):
+        assert found[n]["text"] == f"Story {n} tells.\nQuote {n}"
+
+
+def test_marks_choose_among_varying_slots(spark):
+    page = "<body><article><p>Write to us every day</p></article><div class=text><p>Story {n} tells.</p></div></body>"
+    found = extract(spark, [(n, "http://a.example/", page.format(n=n)) for n in range(6)])
+    assert [found[n]["text"] for n in range(6)] == [f"Story {n} tells." for n in range(6)]
+
+
+def test_dropped_words_and_ranks():
+    def texts(page):
+        root, blocks = dom.parse(page)
+        keep = dom.kept(root, set())
+        return [t for n, t in blocks if keep[n]]
+
+    # The only article stays whatever its class holds; a comment does not replace what it is in.
+    assert texts("<main><article class='post tag-social'><p>a</p></article></main>") == ["a"]
+    assert texts("<div class='has-sidebar'><article><p>a</p></article></div>") == ["a"]
+    assert texts("<article class='has-sidebar'><p>a</p><article class='comment'>b</article></article>") == ["a"]
+    assert texts("<main><p>a</p><article class='comment-7'>b</article></main>") == ["a"]
+    assert texts("<article><p>a</p></article><article class=comment>b</article>") == ["a"]
+
+
 def test_broken_and_odd_pages(spark):
     rows = [
         (1, None, None),

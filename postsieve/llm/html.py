@@ -24,8 +24,8 @@ from postsieve.llm.common import small, stored
 
 BROADCAST_ROWS, BROADCAST_CHARS = 200_000, 32_000_000
 SALTS = 16
-# A slot is constant if one text fills it on this share of at least so many pages, or if
-# many pages share few texts.
+# A slot is constant if one text fills it in this share of at least so many contexts, or if
+# many contexts share few texts.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.8, 3
 VARIANT_SHARE, VARIANT_PAGES = 0.2, 10
 
@@ -43,7 +43,7 @@ def _number(text: str) -> int:
 
 
 def _outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, skeleton, digest, slots, hashes) of each page: texts as hashes per node."""
+    """(host, skeleton, digest, slots, hashes, sizes) of each page: texts as hashes and lengths per node."""
     for batch in batches:
         rows = []
         for url, page in zip(batch["url"], batch["html"]):  # noqa: B905
@@ -54,8 +54,9 @@ def _outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 texts.setdefault(node, []).append(text)
             hashes = [_number("\n".join(parts)) for parts in texts.values()]
             digest = _number(skeleton + repr(sorted(zip(texts, hashes))))  # noqa: B905
-            rows.append((host_of(url), skeleton, digest, list(texts), hashes))
-        yield pd.DataFrame(rows, columns=["host", "skeleton", "digest", "slots", "hashes"])
+            sizes = [sum(map(len, parts)) for parts in texts.values()]
+            rows.append((host_of(url), skeleton, digest, list(texts), hashes, sizes))
+        yield pd.DataFrame(rows, columns=["host", "skeleton", "digest", "slots", "hashes", "sizes"])
 
 
 def _templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,6 +77,13 @@ def _templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*key, dom.write(template))], columns=["host", "salt", "skeleton"])
 
 
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The template nodes that are not dropped by tag, class or role, marked or not."""
+    for batch in batches:
+        keeps = [dom.kept(dom.read(template), set(), set()) for template in batch["template"]]
+        yield batch[["host"]].assign(candidates=[[k for k, keep in enumerate(keep) if keep] for keep in keeps])
+
+
 def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each skeleton the template node of each of its nodes."""
     for batch in batches:
@@ -101,10 +109,14 @@ def induce(pages: DataFrame) -> DataFrame:
     """(host, skeleton, keep): the wrapper of every host.
 
     ``keep`` tells for every node of a skeleton whether its blocks are the article's.
-    Pages of a host that are the same in every block count once.
+    Pages of a host that are the same in every block count once, and so does what pages
+    with the same text in the host's main slot share: copies of an article under other adverts are
+    one context.  The main slot is, of those that could be the article, the one with most
+    text times the logarithm of its different texts, so neither a long footer nor short
+    adverts take its place; it is never constant.
     """
     outlines = pages.select("url", "html").mapInPandas(
-        _outlines, "host string, skeleton string, digest long, slots array<int>, hashes array<long>"
+        _outlines, "host string, skeleton string, digest long, slots array<int>, hashes array<long>, sizes array<long>"
     )
     outlines = stored(outlines.dropDuplicates(["host", "digest"]))
     skeletons = outlines.groupBy("host", "skeleton").agg(F.count("*").alias("pages"))
@@ -121,19 +133,41 @@ def induce(pages: DataFrame) -> DataFrame:
     aligned = stored(
         skeletons.join(templates, "host").mapInPandas(_aligned, "host string, skeleton string, nodes array<int>")
     )
-    fills = (
-        outlines.join(aligned, ["host", "skeleton"])
-        .select("host", "nodes", F.explode(F.arrays_zip("slots", "hashes")).alias("s"))
-        .select("host", F.col("nodes")[F.col("s.slots")].alias("node"), F.col("s.hashes").alias("hash"))
+    placed = outlines.join(aligned, ["host", "skeleton"]).select(
+        "host",
+        "digest",
+        F.expr("transform(arrays_zip(slots, hashes, sizes), s -> (nodes[s.slots] AS node, s.hashes AS hash, s.sizes AS size))").alias("texts"),
+    )
+    candidates = templates.mapInPandas(_candidates, "host string, candidates array<int>")
+    main = (
+        placed.select("host", F.inline("texts"))
         .groupBy("host", "node", "hash")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("size").alias("size"))
         .groupBy("host", "node")
+        .agg((F.sum("size") * F.log2(F.count("*") + F.lit(1))).alias("size"))
+        .join(candidates, "host")
+        .where(F.array_contains("candidates", F.col("node")))
+        .groupBy("host")
+        .agg(F.max(F.struct("size", (-F.col("node")).alias("first"))).alias("m"))
+        .select("host", (-F.col("m.first")).alias("main"))
+    )
+    main = stored(main)
+    context = F.expr("coalesce(get(filter(texts, t -> t.node = main), 0).hash, digest)")
+    fills = (
+        placed.join(main, "host", "left")
+        .select("host", "main", context.alias("context"), F.inline("texts"))
+        .select("host", "main", "context", "node", "hash")
+        .distinct()
+        .groupBy("host", "main", "node", "hash")
+        .agg(F.count("*").alias("n"))
+        .groupBy("host", "main", "node")
         .agg(F.sum("n").alias("pages"), F.count("*").alias("texts"), F.max("n").alias("most"))
     )
+    framed = F.col("main").isNull() | (F.col("node") != F.col("main"))
     same = (F.col("pages") >= CONSTANT_PAGES) & (F.col("most") >= CONSTANT_SHARE * F.col("pages"))
     few = (F.col("pages") >= VARIANT_PAGES) & (F.col("texts") <= VARIANT_SHARE * F.col("pages"))
     slots = fills.where("node >= 0").groupBy("host").agg(
-        F.collect_set(F.when(same | few, F.col("node"))).alias("constant"), F.collect_set("node").alias("filled")
+        F.collect_set(F.when(framed & (same | few), F.col("node"))).alias("constant"), F.collect_set("node").alias("filled")
     )
     return aligned.join(slots, "host", "left").mapInPandas(_decided, "host string, skeleton string, keep array<boolean>")
 

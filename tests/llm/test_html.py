@@ -64,6 +64,32 @@ def test_dropped_words_and_ranks():
     assert texts("<article><p>a</p></article><article class=comment>b</article>") == ["a"]
 
 
+def test_copies_under_changing_adverts_stay(spark):
+    page = (
+        "<body><div class=top>Same on all pages</div><div class=box>Buy {kind} now</div>"
+        "<h1>Head {a}</h1><div class=text><p>Story {a} tells what happened in town number {a}.</p></div>"
+        "<div class=foot><div>Call {phone} from Monday to Friday, all offices are open then {phone}</div></div></body>"
+    )
+    # 20 articles in 6 copies each; adverts differ from copy to copy, footers go through two variants.
+    rows = [
+        (10 * a + c, "http://a.example/", page.format(a=a, kind=f"{a} of {c}" if c else "socks", phone=c % 2))
+        for a in range(20)
+        for c in range(6)
+    ]
+    found = extract(spark, rows)
+    assert len(found) == 120
+    for number, row in found.items():
+        a = number // 10
+        assert row["text"].endswith(f"Head {a}\nStory {a} tells what happened in town number {a}.")
+        assert "Same on all pages" not in row["text"] and "Monday" not in row["text"]
+
+
+def test_three_copies_of_one_article_stay(spark):
+    page = "<body><div class=box>Buy {n} now</div><div class=text><p>One story for all three pages.</p></div></body>"
+    found = extract(spark, [(n, "http://a.example/", page.format(n=n)) for n in range(3)])
+    assert all("One story for all three pages." in row["text"] for row in found.values())
+
+
 def test_broken_and_odd_pages(spark):
     rows = [
         (1, None, None),

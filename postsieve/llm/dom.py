@@ -222,10 +222,17 @@ def _size(a: Node, b: Node, known: dict) -> int:
     """Simple tree matching: the most nodes of two trees that match, order and parents kept."""
     if a.label != b.label:
         return 0
-    key = (a.number, b.number)
-    if key not in known:
-        known[key] = _table(a, b, known)[-1][-1] + 1
-    return known[key]
+    # From the bottom up: a pair waits until all pairs of its children are known.
+    waiting = [(a, b)]
+    while (a.number, b.number) not in known:
+        x, y = waiting[-1]
+        below = [(c, d) for c in x.children for d in y.children if c.label == d.label and (c.number, d.number) not in known]
+        if below:
+            waiting.extend(below)
+        else:
+            known[x.number, y.number] = _table(x, y, known)[-1][-1] + 1
+            waiting.pop()
+    return known[a.number, b.number]
 
 
 def _table(a: Node, b: Node, known: dict) -> list[list[int]]:

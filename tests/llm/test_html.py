@@ -142,6 +142,13 @@ def test_tree_matching_against_every_way():
                 assert len(dom.matches(merged, page)) == len(dom.order(page))
 
 
+def test_deep_nesting():
+    one, _ = dom.parse("<div>" * 3000 + "<p>a</p>")
+    two, _ = dom.parse("<div>" * 2500 + "<ul><li>b</ul>")
+    assert len(dom.matches(dom.read(dom.write(one)), dom.read(dom.write(two)))) == 2501
+    assert len(dom.order(dom.merge(one, two))) == 3004
+
+
 def test_skeleton_text_round_trip():
     root, _ = dom.parse("<body><ul><li>a<li>b</ul><p>c</p><p>d</p></body>")
     assert dom.write(root) == "(body(ul(li())p()))"

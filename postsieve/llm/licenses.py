@@ -42,6 +42,7 @@ NOTICES = {
 BASE_WEIGHT = {"cc-by": 0.6, "gpl": 0.8, "reserved": 0.6}
 TAG, TAG_WEIGHT = "spdx license identifier", 0.95
 _EXPRESSION = re.compile(r"spdx-license-identifier:[ \t]*([^\n\r]*)", re.IGNORECASE)
+_COMMENT_END = re.compile(r"\*/|-->")
 _TOKEN = re.compile(r"[()]|[^\s()]+")
 
 # Families whose terms bind works built on the licensed one; all else known is permissive.
@@ -89,6 +90,22 @@ def to_postfix(expression: str) -> list[str]:
     return out + waiting[::-1]
 
 
+def expression_of(line: str) -> str:
+    """The longest well-formed expression a line begins with, up to the end of a comment; empty without one."""
+    tokens = _TOKEN.findall(_COMMENT_END.split(line, maxsplit=1)[0])
+    end, depth, operand_next = 0, 0, True
+    for k, token in enumerate(tokens):
+        if operand_next != (token != ")" and token.lower() not in _PRECEDENCE) or (token == ")" and not depth):
+            break
+        if token in "()":
+            depth += 1 if token == "(" else -1
+        else:
+            operand_next = token.lower() in _PRECEDENCE
+        if not operand_next and not depth:
+            end = k + 1
+    return " ".join(tokens[:end])
+
+
 def _family(licence: str, names: tuple[str, ...]) -> bool:
     return any(licence == n or licence.startswith(n + "-") for n in names)
 
@@ -149,9 +166,9 @@ def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float,
             label, weight = NOTICES[phrase]
             weights[label] = max(weights.get(label, 0.0), weight)
         tagged = tagged or phrase == TAG
-    for expression in _EXPRESSION.findall(text) if tagged else []:
+    for line in _EXPRESSION.findall(text) if tagged else []:
         try:
-            found, free = evaluate(to_postfix(expression))
+            found, free = evaluate(to_postfix(expression_of(line)))
         except ValueError:
             continue
         terms.add("permissive" if free else "restricted")
@@ -175,7 +192,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """Per document what ``scan`` finds; texts are read once and nothing is shuffled.
 
     ``labels`` has the base labels, those of further notices and the licences of
-    well-formed tag expressions; ``score`` is the chance that one of the findings is
+    tag expressions, each as far as it is well formed; ``score`` is the chance that one of the findings is
     right if each is by its weight; ``terms`` says whether tags leave a permissive
     choice.  NULL texts are empty; repeated rows each get their row.
     """

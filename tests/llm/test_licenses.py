@@ -57,6 +57,25 @@ def test_broken_expressions(broken):
         licenses.to_postfix(broken)
 
 
+@pytest.mark.parametrize(
+    "line, labels, terms",
+    [
+        ("/* SPDX-License-Identifier: MIT */", "mit", "permissive"),
+        ("/* SPDX-License-Identifier: MIT*/ int x;", "mit", "permissive"),
+        ("<!-- SPDX-License-Identifier: Apache-2.0 -->", "apache-2.0", "permissive"),
+        ("<!-- SPDX-License-Identifier: (MIT OR GPL-3.0) AND AGPL-3.0--><p>or", "agpl-3.0,gpl-3.0,mit", "restricted"),
+        ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 as the file says (see there)", "gpl-2.0", "permissive"),
+        ("SPDX-License-Identifier: MIT OR (ISC", "mit", "permissive"),
+        ("(SPDX-License-Identifier: MIT)", "mit", "permissive"),
+        ("/* SPDX-License-Identifier: */", "", ""),
+        ("SPDX-License-Identifier: (MIT", "", ""),
+    ],
+)
+def test_tags_end_where_the_expression_does(line, labels, terms):
+    found = licenses.scan(line)
+    assert (found[5], found[7]) == (labels, terms)
+
+
 def test_labels_and_terms(spark):
     text = "// SPDX-License-Identifier: MIT OR Apache-2.0\nReleased under the MIT License."
     row = licenses.scan_licenses(frame(spark, [(1, text, "en", "s", 0)])).first()

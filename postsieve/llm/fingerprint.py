@@ -5,7 +5,7 @@ and the fingerprint is their sum: equal for any order of the paragraphs, and a
 paragraph is put in or taken out by adding or subtracting its vector.
 
 * 16 lanes modulo 2**32 come from a digest of the paragraph; they tell texts apart.
-* 256 lanes modulo 2**16 count the paragraph's pieces (windows of 16 characters, or all
+* 256 lanes modulo 2**32 count the paragraph's pieces (windows of 16 characters, or all
   of a shorter paragraph), each with a sign on one lane by its hash.  The product of
   two such sums estimates how much two texts share.
 """
@@ -39,7 +39,7 @@ class Fingerprint:
 
     def __init__(self, wide: np.ndarray | None = None, near: np.ndarray | None = None):
         self.wide = np.zeros(WIDE, dtype=np.uint32) if wide is None else wide
-        self.near = np.zeros(NEAR, dtype=np.uint16) if near is None else near
+        self.near = np.zeros(NEAR, dtype=np.uint32) if near is None else near
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.wide + other.wide, self.near + other.near)
@@ -53,7 +53,7 @@ class Fingerprint:
     __hash__ = None
 
     def key(self) -> bytes:
-        return self.wide.astype("<u4").tobytes() + self.near.astype("<u2").tobytes()
+        return self.wide.astype("<u4").tobytes() + self.near.astype("<u4").tobytes()
 
     def text(self) -> str:
         return base64.b64encode(self.key()).decode("ascii")
@@ -62,7 +62,7 @@ class Fingerprint:
         """1 for equal fingerprints, else the estimated cosine of the pieces, 0 to 1."""
         if self == other:
             return 1.0
-        a, b = self.near.view(np.int16).astype(np.float64), other.near.view(np.int16).astype(np.float64)
+        a, b = self.near.view(np.int32).astype(np.float64), other.near.view(np.int32).astype(np.float64)
         size = np.sqrt((a @ a) * (b @ b))
         return float(min(1.0, max(0.0, a @ b / size))) if size else 0.0
 
@@ -87,7 +87,7 @@ def fingerprint(text: str) -> Fingerprint:
         inside = np.zeros(len(codes) + 1, dtype=np.int64)
         np.cumsum(codes == 10, out=inside[1:])
         near = near + _piece_counts(hashes[inside[WINDOW:] == inside[:-WINDOW]])
-    return Fingerprint(wide, near.astype(np.int64).astype(np.uint16))
+    return Fingerprint(wide, near.astype(np.int64).astype(np.uint32))
 
 
 def edited(text: str, following: str) -> str:

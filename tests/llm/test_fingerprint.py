@@ -54,3 +54,10 @@ def test_odd_documents(spark):
     assert fp.fingerprint_report(docs.limit(0)).count() == 0
     one = fp.fingerprint_report(docs.where("doc_id = 1")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
+
+
+def test_many_equal_pieces():
+    for n in (32_783, 65_551, 200_000):
+        line, more = fp.fingerprint("=" * n), fp.fingerprint("=" * (n + 9_000))
+        assert line.likeness(more) > 0.99
+        assert line.likeness(fp.fingerprint("=" * n + "\nThe end of the log")) > 0.99

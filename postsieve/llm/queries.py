@@ -8,7 +8,7 @@ from functools import wraps
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from postsieve.llm import bpe, fingerprint, html, jaccard, langid, licenses, linededup, packing, ppm, topk
+from postsieve.llm import bpe, fingerprint, html, jaccard, langid, licenses, linededup, packing, ppm, topk, whitening
 from postsieve.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -8,7 +8,21 @@ from functools import wraps
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from postsieve.llm import bpe, fingerprint, html, jaccard, langid, licenses, linededup, packing, ppm, topk, whitening
+from postsieve.llm import (
+    alignment,
+    bitplanes,
+    bpe,
+    fingerprint,
+    html,
+    jaccard,
+    langid,
+    licenses,
+    linededup,
+    packing,
+    ppm,
+    topk,
+    whitening,
+)
 from postsieve.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +102,21 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), a, b)
+
+
+@query
+def op13_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bitplanes.store_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

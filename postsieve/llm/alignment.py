@@ -19,42 +19,23 @@ from pyspark.sql import functions as F
 
 from postsieve.llm.bpe import byte_characters
 from postsieve.llm.common import keyed, stored, text_or_empty
-from postsieve.llm.words import Memory, blank_pieces
+from postsieve.llm.words import Memory, batches, blank_pieces, joinable
 
 # Pairs whose counts are broadcast (17 bytes each); the others are joined.
 TABLE_PAIRS = 500_000
 # A text with more than this part of all rows is heavy; there are fewer than 1,000.
 HEAVY_PART = 1_000
 
-Piece = tuple[str, bytes, int, int] | bool
+# New pieces that are encoded as one text.
+_ROW = 500
 
+# Groups as text with a mark behind each, links (a << 32 | b) as bytes, tokens of A and B.
+# False: the tokens do not give the piece back.
+Piece = tuple[str, bytes, int, int] | bool
 
-def align_tokens(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[str, list[int]]:
-    """Groups as text, and the linked (a << 32 | b) of two tokenizations of the same bytes.
 
-    Every stretch between neighbouring ends of any of the two lies in one token of each
-    and is one link; where both end, a group ends.
-    """
-    if not a:
-        return "", []
-    links, groups = [], []
-    i = j = from_i = from_j = 0
-    end_a, end_b = a_size[a[0]], b_size[b[0]]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-            if i == len(a):
-                return ";".join(groups), links
-            from_i, from_j = i, j
-            end_a, end_b = end_a + a_size[a[i]], end_b + b_size[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += a_size[a[i]]
-        else:
-            j += 1
-            end_b += b_size[b[j]]
+def _numbers(n: int, end: str) -> np.ndarray:
+    return np.array([f"{i}{end}" for i in range(n)], dtype=object)
 
 
 class Aligner:
@@ -88,29 +69,77 @@ class Aligner:
             for i, name in enumerate(names)
         ]
         self._cuts = not any("▁" in name.lstrip("▁") for name in names)
-        self._a_size, self._b_size = [len(t) for t in self._a_bytes], [len(t) for t in self._b_bytes]
+        self._a_size, self._b_size = np.array([len(t) for t in self._a_bytes]), np.array([len(t) for t in self._b_bytes])
+        self._a_more, self._a_last = _numbers(len(self._a_bytes), ","), _numbers(len(self._a_bytes), "|")
+        self._b_more, self._b_last = _numbers(len(self._b_bytes), ","), _numbers(len(self._b_bytes), ";")
         self._memory = Memory(self._learn)
 
     def _learn(self, pieces: list[str]) -> list[Piece]:
-        a_rows = self._a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        b_rows = self._b.encode(pieces, num_threads=1)
+        """New pieces are encoded some hundreds in a row, and all of them aligned in one go."""
+        single = [p for p in pieces if not joinable(p)]
+        rows = [p for p in pieces if joinable(p)]
+        order = rows + single
+        units = [" ".join(rows[k : k + _ROW]) for k in range(0, len(rows), _ROW)] + single
+        a = [row.ids for row in self._a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+        b = self._b.encode(units, num_threads=1)
+        ends = np.cumsum([len(p.encode()) + 1 for p in order])
+        a, b = [i for ids in a for i in ids], [i for ids in b for i in ids]
+        whole = "".join([" " + u for u in units]).encode()
+        a_bytes, b_bytes = b"".join([self._a_bytes[i] for i in a]), b"".join([self._b_bytes[i] for i in b])
+        if a_bytes != whole or b_bytes != whole:
+            return list(map(self._learn_one, pieces))
+        learned = dict(zip(order, self._align(np.array(a), np.array(b), ends), strict=True))
+        return [learned[p] for p in pieces]
+
+    def _learn_one(self, piece: str) -> Piece:
+        a = self._a.encode(" " + piece, add_special_tokens=False).ids
+        b, want = self._b.encode(piece), (" " + piece).encode()
+        if b"".join([self._a_bytes[i] for i in a]) != want or b"".join([self._b_bytes[i] for i in b]) != want:
+            return False
+        return self._align(np.array(a), np.array(b), np.array([len(want)]))[0]
+
+    def _align(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> list[Piece]:
+        """The pieces that end at the bytes ``ends``, from the tokens of all of them.
+
+        Every stretch between neighbouring ends of any of the two lies in one token of each
+        and is one link; where both end, a group ends.
+        """
+        end_a, end_b = np.cumsum(self._a_size[a]), np.cumsum(self._b_size[b])
+        cuts = np.union1d(end_a, end_b)
+        links = a[np.searchsorted(end_a, cuts)] << 32 | b[np.searchsorted(end_b, cuts)]
+        groups = np.intersect1d(end_a, end_b, assume_unique=True)
+        # The ids as text in the order of the result: of each group those of A, then those of B.
+        group_a, group_b = np.searchsorted(groups, end_a), np.searchsorted(groups, end_b)
+        before_a = np.searchsorted(group_b, group_a)  # B ids of earlier groups
+        before_b = np.searchsorted(group_a, group_b, side="right")
+        text = np.empty(len(a) + len(b), dtype=object)
+        last_a, last_b = groups[group_a] == end_a, groups[group_b] == end_b
+        text[np.arange(len(a)) + before_a] = np.where(last_a, self._a_last[a], self._a_more[a])
+        text[np.arange(len(b)) + before_b] = np.where(last_b, self._b_last[b], self._b_more[b])
+        to_a, to_b = np.searchsorted(end_a, ends, side="right"), np.searchsorted(end_b, ends, side="right")
+        to_link = (8 * np.searchsorted(cuts, ends, side="right")).tolist()
+        words, data = text.tolist(), links.astype(np.int64).tobytes()
         out: list[Piece] = []
-        for piece, row, b in zip(pieces, a_rows, b_rows, strict=True):
-            a, want = row.ids, (" " + piece).encode()
-            if b"".join([self._a_bytes[i] for i in a]) != want or b"".join([self._b_bytes[i] for i in b]) != want:
-                out.append(False)
-                continue
-            groups, links = align_tokens(a, b, self._a_size, self._b_size)
-            out.append((groups, np.array(links, dtype=np.int64).tobytes(), len(a), len(b)))
+        i = j = at = 0
+        for next_i, next_j, next_at in zip(to_a.tolist(), to_b.tolist(), to_link, strict=True):
+            out.append(("".join(words[i + j : next_i + next_j]), data[at:next_at], next_i - i, next_j - j))
+            i, j, at = next_i, next_j, next_at
         return out
 
-    def align(self, text: str) -> tuple[str, np.ndarray, int, int]:
-        """Groups, links, and numbers of tokens; a text that the tokens do not give back has none."""
-        found = self._memory.of(blank_pieces(text) if self._cuts else [text]) if text else [False]
-        if False in found:
-            return "", np.zeros(0, dtype=np.int64), 0, 0
-        groups, links, a, b = zip(*found, strict=True)
-        return ";".join(groups), np.frombuffer(b"".join(links), dtype=np.int64), sum(a), sum(b)
+    def align_all(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, int, int]]:
+        """Per text its groups, links, and numbers of tokens; a text that the tokens do not give back has none."""
+        for some in batches(texts):
+            pieces = [(blank_pieces(text) if self._cuts else [text]) if text else [] for text in some]
+            found = self._memory.of([p for of_text in pieces for p in of_text])
+            at = 0
+            for of_text in pieces:
+                own = found[at : at + len(of_text)]
+                at += len(of_text)
+                if not own or False in own:
+                    yield "", np.zeros(0, dtype=np.int64), 0, 0
+                    continue
+                groups, links, a, b = zip(*own, strict=True)
+                yield "".join(groups)[:-1], np.frombuffer(b"".join(links), dtype=np.int64), sum(a), sum(b)
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -132,15 +161,16 @@ def aligned_texts(docs: DataFrame, a_path: str, b_path: str, keep_groups: bool =
     types = [pa.binary(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.string()]
     names = [field.split()[0] for field in schema.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _ALIGNERS:
             _ALIGNERS.clear()
             _ALIGNERS[name] = Aligner(*shared.value)
         aligner = _ALIGNERS[name]
-        for batch in batches:
+        for batch in parts:
             rows = []
-            for digest, copies, text in zip(*[batch.column(c) for c in ("digest", "copies", "text")], strict=True):
-                groups, links, n_a, n_b = aligner.align(text.as_py())
+            aligned = aligner.align_all(batch.column("text").to_pylist())
+            for digest, copies, of_text in zip(batch.column("digest"), batch.column("copies"), aligned, strict=True):
+                groups, links, n_a, n_b = of_text
                 pairs, times = np.unique(links, return_counts=True)
                 sha = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
                 n_groups = groups.count("|")

@@ -7,15 +7,17 @@ again costs one look-up.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 LONGEST = 64
 
 # What may start a piece behind a blank: printable ASCII, or a letter, digit or underscore anywhere.
 _SAFE = re.compile(r"[!-~\w]")
 _LINES = str.maketrans("\t\n\r", "   ")
+# Characters of a batch of texts whose pieces are held at once.
+BATCH_CHARS = 1_000_000
 
 
 def blank_pieces(text: str) -> list[str]:
@@ -41,14 +43,61 @@ def spaced_pieces(text: str) -> list[str]:
     return [part for part in text.translate(_LINES).split(" ") if part]
 
 
+# Letters and numbers of Latin-1 in lower case; printable Latin-1 is put together already.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+_LATIN = re.compile(r"[!-~¡-ÿ]+")
+_LATIN_TEXT = re.compile(r"[\t\n\r -~¡-ÿ]*")
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+
+
+def lower_words(text: str) -> list[str]:
+    """The words of a tokenizer that lower-cases, drops white space and cuts contractions, letters,
+    single numbers and the rest; parts beyond Latin-1, and such with a special token, stay whole.
+
+    For Latin-1 it is certain what is a letter and what lower case is.
+    """
+    if "<|" not in text and _LATIN_TEXT.fullmatch(text):
+        return _WORDS.findall(text.lower())
+    out: list[str] = []
+    for part in spaced_pieces(text):
+        if "<|" not in part and _LATIN.fullmatch(part):
+            out += _WORDS.findall(part.lower())
+        else:
+            out.append(part)
+    return out
+
+
+def is_word(piece: str) -> bool:
+    """Whether ``piece`` is one word of ``lower_words``, not a part left whole."""
+    return "<|" not in piece and _WORDS.fullmatch(piece) is not None and _LATIN.fullmatch(piece) is not None
+
+
+def joinable(piece: str) -> bool:
+    """Whether ``piece`` may stand between others with single blanks between, and is cut there again."""
+    return _SAFE.match(piece) is not None and not piece[-1].isspace()
+
+
+def batches(texts: list[str], chars: int = BATCH_CHARS) -> Iterator[list[str]]:
+    """``texts`` in order, in lists that end once they have ``chars`` characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Memory:
     """Results for pieces; ``learn`` works out those of a list of new ones.
 
     What has not been met since the memory was full the last time is forgotten when it is full again.
     """
 
-    def __init__(self, learn: Callable[[list[str]], Sequence[Any]]):
-        self._learn = learn
+    def __init__(self, learn: Callable[[list[str]], Sequence[Any]], most: int = REMEMBERED):
+        self._learn, self._most = learn, most
         self._known: dict[str, Any] = {}
         self._before: dict[str, Any] = {}
 
@@ -62,7 +111,7 @@ class Memory:
         learned = old | dict(zip(new, self._learn(new))) if new else old  # noqa: B905
         for piece, result in learned.items():
             if len(piece) <= LONGEST:
-                if len(self._known) >= REMEMBERED:
+                if len(self._known) >= self._most:
                     self._before, self._known = self._known, {}
                 self._known[piece] = result
         return [learned[p] if f is None else f for p, f in zip(pieces, found)]  # noqa: B905

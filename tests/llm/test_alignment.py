@@ -109,7 +109,7 @@ def test_pieces_are_cut_where_both_tokenizers_cut(tokenizers):
     assert aligner._cuts
     a, b = tokenizers
     for text in [*ODD, LONG]:
-        groups, links, n_a, n_b = aligner.align(text)
+        ((groups, _, n_a, _),) = aligner.align_all([text])
         if n_a == 0:
             assert "▁" in text
             continue
@@ -124,6 +124,18 @@ def test_cutting():
     assert spaced_pieces(" a\tb\n\nc ") == ["a", "b", "c"]
 
 
+def test_pieces_learned_together_and_alone(tokenizers):
+    """Pieces that stand in a row, ones that cannot, and a batch with one that is not given back."""
+    with open(A, encoding="utf-8") as a_file, open(B, "rb") as b_file:
+        files = a_file.read(), b_file.read()
+    pieces = ["word", "two,", "é!", "trail ", "", "\tlead", "line\n", "中文"]
+    together = alignment.Aligner(*files)._learn(pieces)
+    alone = [alignment.Aligner(*files)._learn([p])[0] for p in pieces]
+    assert together == alone
+    broken = alignment.Aligner(*files)._learn(["word", "▁x", "é!"])
+    assert broken == [alone[0], False, alone[2]]
+
+
 def test_translation(spark):
     rows = alignment.translation(frame(spark, [(1, "the the the cat"), (2, "the")], "doc_id long, text string"), A, B).collect()
     assert sorted(r["count"] for r in rows)[-1] == 4

@@ -34,6 +34,15 @@ TABLES: dict[str, T.StructType] = {
     "scanned_posts": SCANNED_POSTS,
 }
 
+# What a run keeps about itself, batch by batch.
+RUN_TABLES: dict[str, T.StructType] = {
+    "page_rejects": _struct(keyword_id=_LONG, page=_LONG, reason=_TEXT, body=_TEXT),
+    "page_cursors": _struct(keyword_id=_LONG, last_page=_LONG, n_rows=_LONG),
+    "keyword_deltas": _struct(keyword_id=_LONG, received=_LONG, matched=_LONG),
+    # Either an id of a post or one of a keyword; forget: the id may be collected anew.
+    "deletions": _struct(external_id=_TEXT, keyword_id=_LONG, forget=T.BooleanType()),
+}
+
 COUNTS = ["like_count", "reply_count", "quote_count", "repost_count"]
 
 # Declared constraints, checked by operators.integrity.constraint_report.
@@ -73,6 +82,18 @@ KEYWORDS_CSV = _struct(query=_TEXT, keyword=_TEXT, language=_TEXT, model=_TEXT)
 
 # Batches that cross the edge of the system.
 COMPLETIONS = _struct(model_seq=_INT, model=_TEXT, query=_TEXT, topic=_TEXT, content=_TEXT)
+PAGES = _struct(keyword_id=_LONG, page=_LONG, body=_TEXT)  # body: JSON text, an array of posts
+PAGE_POST = _struct(
+    external_id=_TEXT,
+    text=_TEXT,
+    created_at=T.TimestampNTZType(),
+    like_count=_INT,
+    reply_count=_INT,
+    quote_count=_INT,
+    repost_count=_INT,
+    labels=_TEXT,
+    embed=_TEXT,
+)
 CANDIDATES = _struct(
     kw_seq=_LONG,
     keyword_id=_LONG,

@@ -5,7 +5,8 @@ earlier attempt at the same batch left there, so a replay changes nothing and no
 write touches old data.  Posts keep their versions; readers take the newest one.
 Seen ids and post-keyword links are inserted only if no earlier batch holds them.
 ``compact`` rewrites many small batches into one folder, after which readers skip
-their partitions.  One writer at a time.
+their partitions.  Posts and keywords are deleted by rows that say so; what was written
+up to then under their ids is read no more, links included.  One writer at a time.
 """
 
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from postsieve.operators.arrivals import anti_seen_batch
 from postsieve.operators.sizing import fits_broadcast
 from postsieve.operators.upsert import latest_per_key
-from postsieve.schemas import TABLES
+from postsieve.schemas import RUN_TABLES, TABLES
 from postsieve.session import child_folders, path_exists
 
 _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.LongType())]
@@ -25,6 +26,16 @@ _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.Long
 # The partition that declares a table; it never holds rows.
 _EMPTY = "run=-1/epoch=-1"
 
+_ALL = TABLES | RUN_TABLES
+
+# Which columns of a table say that a deletion concerns a row: its own, that of the deletion.
+_DELETED_BY = {
+    "posts": [("external_id", "external_id")],
+    "post_keywords": [("external_id", "external_id"), ("keyword_id", "keyword_id")],
+    "scanned_posts": [("external_id", "external_id")],
+    "keywords": [("id", "keyword_id")],
+}
+
 BATCH_TABLES = ["posts", "post_keywords", "scanned_posts"]
 
 
@@ -39,7 +50,7 @@ class Store:
     def bootstrap(self, reset: bool = False, keep_seen: bool = True) -> None:
         """Declare the tables.  ``reset`` empties them; the seen ids outlive a
         reset unless ``keep_seen`` is off."""
-        for table, schema in TABLES.items():
+        for table, schema in _ALL.items():
             empty = self.spark.createDataFrame([], schema)
             if reset and not (table == "scanned_posts" and keep_seen):
                 # Overwriting the folder drops every partition in it.
@@ -57,14 +68,38 @@ class Store:
         for table, schema in TABLES.items():
             columns = ", ".join(schema.names)
             rows = f"parquet.`{self.path(table)}`"
+            for column, deleted in _DELETED_BY.get(table, []):
+                forget = " AND d.forget" if table == "scanned_posts" else ""
+                rows = f"""(SELECT * FROM {rows} t WHERE NOT EXISTS (
+                    SELECT 1 FROM parquet.`{self.path('deletions')}` d WHERE d.{deleted} = t.{column}{forget}
+                    AND struct(d.run, d.epoch) >= struct(t.run, t.epoch)))"""
             if table == "posts":
                 newest = "row_number() OVER (PARTITION BY external_id ORDER BY run DESC, epoch DESC)"
                 rows = f"(SELECT *, {newest} AS version FROM {rows}) WHERE version = 1"
             self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {columns} FROM {rows}")
 
     def versions(self, table: str) -> DataFrame:
-        """All rows with the run and epoch that wrote them."""
-        schema = T.StructType(TABLES[table].fields + _VERSION)
+        """All rows with the run and epoch that wrote them, without deleted ones."""
+        return self._alive(table, self._written(table))
+
+    def _alive(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows that no later deletion concerns.  The deletions are cut to one per id before they meet the rows."""
+        if table not in _DELETED_BY or child_folders(self.spark, self.path("deletions")) in ([], [_EMPTY.split("/")[0]]):
+            return rows
+        deletions = self._written("deletions")
+        if table == "scanned_posts":
+            deletions = deletions.where("forget")
+        for column, deleted in _DELETED_BY[table]:
+            gone = deletions.where(F.col(deleted).isNotNull()).groupBy(F.col(deleted).alias(column))
+            gone = gone.agg(F.max(F.struct("run", "epoch")).alias("_gone"))
+            if fits_broadcast(gone):
+                gone = F.broadcast(gone)
+            alive = F.col("_gone").isNull() | (F.struct("run", "epoch") > F.col("_gone"))
+            rows = rows.join(gone, column, "left").where(alive).drop("_gone")
+        return rows.select(*_ALL[table].names, "run", "epoch")
+
+    def _written(self, table: str) -> DataFrame:
+        schema = T.StructType(_ALL[table].fields + _VERSION)
         rows = self.spark.read.schema(schema).parquet(self.path(table))
         bound = self._compacted_before(table)
         if bound is None:
@@ -91,14 +126,13 @@ class Store:
         once it is complete, so a broken compaction changes nothing.  The partitions
         it replaces are read no more, and kept for views registered before.
         """
-        rows = self.versions(table)
-        newest = rows.agg(F.max(F.struct("run", "epoch"))).first()[0]
+        newest = self._written(table).agg(F.max(F.struct("run", "epoch"))).first()[0]
         if newest is None or tuple(newest) == self._compacted_before(table):
             return False
         earlier = self.before(table, newest.run, newest.epoch)
         if table == "posts":
             earlier = latest_per_key(earlier, ["external_id"], ["run", "epoch"])
-        key = TABLES[table].names[0]
+        key = _ALL[table].names[0]
         earlier.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(
             self._compact_path(table, newest.run, newest.epoch)
         )
@@ -109,17 +143,21 @@ class Store:
         earlier = (F.col("run") < run) | ((F.col("run") == run) & (F.col("epoch") < epoch))
         return self.versions(table).filter(earlier)
 
+    def batch(self, table: str, run: int, epoch: int) -> DataFrame:
+        """What one batch wrote, from its own partition."""
+        return self.spark.read.schema(_ALL[table]).parquet(f"{self.path(table)}/run={run}/epoch={epoch}")
+
     def read(self, table: str) -> DataFrame:
         """The table as it stands: for posts the newest version of each id."""
         rows = self.versions(table)
         if table == "posts":
             rows = latest_per_key(rows, ["external_id"], ["run", "epoch"])
-        return rows.select(*TABLES[table].names)
+        return rows.select(*_ALL[table].names)
 
     def append(self, table: str, rows: DataFrame, run: int, epoch: int) -> int:
         """Write one batch and return its number of rows."""
         written = Observation()
-        rows.select(*TABLES[table].names).observe(written, F.count(F.lit(1)).alias("n")).write.mode(
+        rows.select(*_ALL[table].names).observe(written, F.count(F.lit(1)).alias("n")).write.mode(
             "overwrite"
         ).parquet(f"{self.path(table)}/run={run}/epoch={epoch}")
         return written.get["n"]
@@ -138,6 +176,27 @@ class Store:
         new = batch.join(known, ["external_id", "keyword_id"], "left_anti")
         return self.append("post_keywords", new, run, epoch)
 
+    def delete(
+        self,
+        run: int,
+        epoch: int,
+        posts: DataFrame | None = None,
+        keywords: DataFrame | None = None,
+        forget: bool = False,
+    ) -> int:
+        """Delete posts (external_id) and keywords (id) with their links, as a batch of its own.
+
+        All that batches up to this one wrote under these ids is gone; what comes later is
+        there again.  With ``forget`` the ids of the posts also leave the seen ids.
+        Compaction leaves deleted rows out.
+        """
+        none = self.spark.createDataFrame([], "external_id string, keyword_id long")
+        rows = none if posts is None else posts.select("external_id", F.lit(None).cast("long").alias("keyword_id"))
+        if keywords is not None:
+            rows = rows.unionByName(keywords.select(F.lit(None).cast("string").alias("external_id"), F.col("id").alias("keyword_id")))
+        rows = rows.where("external_id IS NOT NULL OR keyword_id IS NOT NULL").distinct()
+        return self.append("deletions", rows.withColumn("forget", F.lit(forget)), run, epoch)
+
     def insert_seen(self, ids: DataFrame, run: int, epoch: int) -> int:
         """Add the ids that no earlier batch added."""
         batch = ids.select("external_id").distinct()
@@ -146,6 +205,6 @@ class Store:
 
     def newest_run(self) -> int:
         """The highest run that wrote anything, -1 for none."""
-        runs = [self.versions(t).agg(F.max("run").alias("run")) for t in BATCH_TABLES]
+        runs = [self._written(t).agg(F.max("run").alias("run")) for t in BATCH_TABLES]
         newest = reduce(lambda a, b: a.union(b), runs).agg(F.max("run")).first()[0]
         return -1 if newest is None else newest

@@ -4,6 +4,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from postsieve.operators.arrivals import seen_among
+from postsieve.operators.progress import keyword_delta
 from postsieve.operators.upsert import bridge_rows
 from postsieve.plans.collect import collect_all, collect_first_seen
 from postsieve.session import path_exists
@@ -38,9 +39,12 @@ def write_batch(
     epoch: int,
     mode: str = "all",
     lemmas: DataFrame | None = None,
+    counts: bool = False,
 ) -> dict[str, int]:
     """Collect one batch of candidates and store it; returns the rows written.
 
+    With ``counts`` the batch also leaves its candidates and new links per keyword.
+
     Posts first, seen ids last: a batch that breaks off in between is done again
     and overwrites its own partitions.  If that is done from a fresh checkpoint, the
     links are there already under another run, so links are inserted only if absent;
@@ -53,11 +57,14 @@ def write_batch(
     base = collected.base.persist(StorageLevel.MEMORY_AND_DISK)
     matched = collected.posts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {
+        written = {
             "posts": store.upsert_posts(matched, run, epoch),
             "post_keywords": store.insert_links(bridge_rows(matched), run, epoch),
-            "scanned_posts": store.append("scanned_posts", collected.seen, run, epoch),
         }
+        if counts:
+            new_links = store.batch("post_keywords", run, epoch)
+            written["keyword_deltas"] = store.append("keyword_deltas", keyword_delta(candidates, new_links), run, epoch)
+        return written | {"scanned_posts": store.append("scanned_posts", collected.seen, run, epoch)}
     finally:
         matched.unpersist()
         base.unpersist()
@@ -71,6 +78,7 @@ def ingest_posts(
     mode: str = "all",
     dedup_state: bool = False,
     lemmas: DataFrame | None = None,
+    counts: bool = False,
 ) -> list[dict[str, int]]:
     """Work through all waiting candidates, batch by batch, and stop.
 
@@ -86,7 +94,7 @@ def ingest_posts(
     written: list[dict[str, int]] = []
 
     def page(batch: DataFrame, epoch: int) -> None:
-        written.append(write_batch(batch, keywords, store, run, epoch, mode, lemmas))
+        written.append(write_batch(batch, keywords, store, run, epoch, mode, lemmas, counts))
 
     if dedup_state and mode != "all":
         raise ValueError("dedup_state keeps any copy of a repeated id; first_seen needs the first")

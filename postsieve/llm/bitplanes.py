@@ -1,22 +1,26 @@
 """Token ids in files of compressed planes, with an index of chunks and of documents.
 
-All ids of a corpus, in order of the documents, are one long row of numbers.  It is
-cut into shards of a fixed number of ids, whatever the lengths of the documents, and each
-shard into chunks.  The ids of a chunk are transposed into planes, one per byte or per bit, and each
-plane is compressed by itself with zstandard.
+The documents are range-partitioned by doc_id, so each part holds a stretch of the
+corpus in order.  A part encodes its texts one after the other and writes a file whenever
+it has a fixed number of ids, whatever the lengths of the documents.  The ids of a file
+are cut into chunks; those of a chunk are transposed into planes, one per byte or per
+bit, and each plane is compressed by itself with zstandard.
 
-A file, all numbers little-endian:
+A file is ``part=p/seq=s/part-*``.  All its numbers are little-endian:
 
     "BPL1", u8 bits of a plane (8 or 1)
     the planes of all chunks, lowest first, one zstandard frame each
     index: u32 chunks; per chunk u64 place, u32 ids, u8 planes, per plane u32 bytes
-           u32 documents; per document u64 place of its first id in the corpus, u64 its ids,
-           u64 place and u64 number of those in this shard, u8 whether it has a doc_id, i64 doc_id
+           u32 documents; per document u64 place of its first id in the part, u64 its ids,
+           u64 place and u64 number of those in this file, u8 whether it has a doc_id, i64 doc_id
     u32 crc32 of the index, u64 place of the index, "1LPB", a line feed
+
+``_parts`` is a table (part, start, n): where each part begins in the corpus.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -32,12 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import keyed, stored, text_or_empty
-from postsieve.llm.words import Memory, spaced_pieces
+from postsieve.llm.words import Memory, batches, is_word, lower_words
 from postsieve.session import work_folder
 
 SHARD_IDS = 1 << 22  # 16 MB before compression
 CHUNK_IDS = 1 << 16
 END_ID = 2
+REMEMBERED = 400_000  # words, twice; about 80 MB each
+# New words that are encoded as one text.
+_ROW = 500
 
 _HEAD, _TAIL = b"BPL1", b"1LPB"
 _DOCUMENT = np.dtype([("start", "<u8"), ("total", "<u8"), ("at", "<u8"), ("n", "<u8"), ("named", "u1"), ("doc_id", "<i8")])
@@ -142,123 +149,143 @@ def crc32_joined(first: int, second: int, length: int) -> int:
 
 
 class Encoder:
-    """A tokenizer of the library whose words end at white space, with a memory of pieces."""
+    """A word-level BPE of the tokenizers library, with a memory of words.
+
+    New words are encoded in a row, and cut behind the tokens that end a word.  They are
+    in lower case and apart already, so the library only has to merge.
+    """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_str(model)
-        self._tokenizer.no_padding()
-        self._tokenizer.no_truncation()
-        self._memory = Memory(self._learn)
-
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        rows = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(row.ids, dtype="<u4").tobytes() for row in rows]
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        return b"".join(self._memory.of(spaced_pieces(text)))
+        self._whole = Tokenizer.from_str(model)
+        settings = json.loads(model)
+        split = {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        settings |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": list(split)}}
+        self._merges = Tokenizer.from_str(json.dumps(settings))
+        for tokenizer in (self._whole, self._merges):
+            tokenizer.no_padding()
+            tokenizer.no_truncation()
+        suffix = settings["model"].get("end_of_word_suffix")
+        vocabulary = self._whole.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
+        for token, number in vocabulary.items():
+            self._ends[number] = bool(suffix) and token.endswith(suffix)
+        self._words = Memory(self._learn_words, REMEMBERED)
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(row.ids, dtype="<u4") for row in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_words(self, pieces: list[str]) -> list[bytes]:
+        words, others = [], []
+        for piece in pieces:
+            (words if is_word(piece) else others).append(piece)
+        learned = dict(zip(others, [ids.tobytes() for ids in self._ids(self._whole, others)], strict=True))
+        rows = [words[k : k + _ROW] for k in range(0, len(words), _ROW)]
+        for row, ids in zip(rows, self._ids(self._merges, [" ".join(row) for row in rows]), strict=True):
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) == len(row) and ends[-1] == len(ids):
+                data, cuts = ids.tobytes(), (4 * ends).tolist()
+                learned.update(zip(row, [data[i:j] for i, j in zip([0, *cuts], cuts)], strict=True))  # noqa: B905
+            else:
+                learned.update(zip(row, [ids.tobytes() for ids in self._ids(self._whole, row)], strict=True))
+        return [learned[p] for p in pieces]
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        for some in batches(texts):
+            words = list(map(lower_words, some))
+            found, at = self._words.of([w for of_text in words for w in of_text]), 0
+            for of_text in words:
+                yield b"".join(found[at : at + len(of_text)])
+                at += len(of_text)
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """Documents by rising doc_id (none first), as stored rows (part, before, doc_id, n, ids): the ids with
-    the end id as bytes, and how many ids of the same part stand before.
+def _shards(rows: Iterator[tuple[int | None, bytes]], shard_ids: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and documents of one file after the other; only one file's ids are held at a time."""
+    ids: list[bytes] = []
+    documents: list[tuple] = []
+    held = start = 0
+    for doc_id, data in rows:
+        total, begin = len(data) // 4, 0
+        while begin < total:
+            n = min(total - begin, shard_ids - held)
+            ids.append(data[4 * begin : 4 * (begin + n)])
+            documents.append((start, total, start + begin, n, doc_id is not None, doc_id or 0))
+            begin, held = begin + n, held + n
+            if held == shard_ids:
+                yield np.frombuffer(b"".join(ids), dtype="<u4"), np.array(documents, dtype=_DOCUMENT)
+                ids, documents, held = [], [], 0
+        start += total
+    if held:
+        yield np.frombuffer(b"".join(ids), dtype="<u4"), np.array(documents, dtype=_DOCUMENT)
+
 
-    One shuffle of the texts by range; equal doc_ids are spread by their texts.  The file's vocabulary is broadcast.
+def write_ids(
+    docs: DataFrame,
+    path: str,
+    folder: str,
+    end_id: int = END_ID,
+    shard_ids: int = SHARD_IDS,
+    chunk_ids: int = CHUNK_IDS,
+    bits: int = 8,
+) -> None:
+    """Encode documents by rising doc_id (none first) and write their ids, each with the end id behind.
+
+    One shuffle of the texts by range; equal doc_ids are spread by their texts.  The
+    tokenizer's file, bounded by its vocabulary, is broadcast.  Spark's own commit puts the files in
+    place, so a task that is lost leaves none.
     """
     with open(path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     name = uuid.uuid4().hex
     end = struct.pack("<I", end_id)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _ENCODERS:
             _ENCODERS.clear()
             _ENCODERS[name] = Encoder(shared.value)
-        encode, part, before = _ENCODERS[name].encode, TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [encode(text.as_py()) + end for text in batch.column("text")]
-            counts = np.array([len(i) // 4 for i in ids], dtype=np.int64)
-            sums = before + np.cumsum(counts)
+        encode, part = _ENCODERS[name].encode, TaskContext.get().partitionId()
+
+        def rows() -> Iterator[tuple[int | None, bytes]]:
+            for batch in parts:
+                ids = encode(batch.column("text").to_pylist())
+                for doc_id, data in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
+                    yield doc_id, data + end
+
+        for seq, (ids, documents) in enumerate(_shards(rows(), shard_ids)):
+            data = write_shard(ids, documents, chunk_ids, bits)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(ids), part, dtype=np.int32)),
-                    pa.array(sums - counts),
-                    batch.column("doc_id"),
-                    pa.array(counts),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=["part", "before", "doc_id", "n", "ids"],
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([data], pa.binary())],
+                names=["part", "seq", "data"],
             )
-            before = int(sums[-1]) if len(sums) else before
 
     rows = keyed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     order = ["doc_id", "tie", "text"]
     ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions(*order)
-    return stored(ordered.select("doc_id", "text").mapInArrow(run, "part int, before long, doc_id long, n long, ids binary"))
-
-
-def _placed(rows: DataFrame, shard_ids: int) -> DataFrame:
-    """The pieces of documents that lie in each shard: (shard, start, total, at, n, doc_id, ids)."""
-    spark = rows.sparkSession
-    parts = sorted(rows.groupBy("part").agg(F.sum("n").alias("n")).collect(), key=lambda row: row.part)
-    total, starts = 0, []
-    for row in parts:
-        starts.append((row.part, total))
-        total += row.n
-    # One row per partition of the shuffle.
-    offsets = F.broadcast(spark.createDataFrame(starts, "part int, offset long"))
-    placed = rows.join(offsets, "part").withColumn("start", F.col("offset") + F.col("before"))
-    size, last = F.lit(shard_ids).cast("long"), F.col("start") + F.col("n") - 1
-    shards = placed.withColumn("shard", F.explode(F.sequence(F.expr(f"start div {shard_ids}"), F.floor(last / size))))
-    at = F.greatest(F.col("start"), F.col("shard") * size)
-    shards = shards.withColumn("at", at).withColumn("end", F.least(last + 1, (F.col("shard") + 1) * size))
-    piece = F.expr("substring(ids, cast((at - start) * 4 + 1 as int), cast((end - at) * 4 as int))")
-    return shards.select("shard", "start", F.col("n").alias("total"), "at", (F.col("end") - F.col("at")).alias("n"), "doc_id", piece.alias("ids"))
-
-
-def write_ids(
-    rows: DataFrame, folder: str, shard_ids: int = SHARD_IDS, chunk_ids: int = CHUNK_IDS, bits: int = 8
-) -> str:
-    """Write the files of ``tokenized`` rows: ``folder/shard=k/``, one file each, put there by Spark's own commit.
-
-    A task holds one shard, so its memory does not depend on the documents.
-    """
-
-    def pack(group: pa.Table) -> pa.Table:
-        group = group.sort_by("at")
-        documents = np.zeros(group.num_rows, dtype=_DOCUMENT)
-        for field in ("start", "total", "at", "n"):
-            documents[field] = group.column(field).to_numpy()
-        documents["named"] = group.column("doc_id").is_valid().to_numpy()
-        documents["doc_id"] = group.column("doc_id").fill_null(0).to_numpy()
-        ids = np.frombuffer(b"".join(group.column("ids").to_pylist()), dtype="<u4")
-        data = write_shard(ids, documents, chunk_ids, bits)
-        return pa.table({"shard": group.column("shard").slice(0, 1), "data": pa.array([data], pa.binary())})
-
-    files = _placed(rows, shard_ids).groupBy("shard").applyInArrow(pack, "shard long, data binary")
+    files = ordered.select("doc_id", "text").mapInArrow(run, "part int, seq int, data binary")
     # The text writer puts the bytes of a string as they are, and a line feed behind.
-    files.select("shard", F.col("data").cast("string").alias("value")).write.partitionBy("shard").option(
+    files.select("part", "seq", F.col("data").cast("string").alias("value")).write.partitionBy("part", "seq").option(
         "compression", "none"
     ).text(folder)
-    return folder
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32.
 
-    A document that lies in several shards gets the checksum of the whole from those of its pieces.
+    A document that lies in several files gets the checksum of the whole from those of its
+    pieces.  Leaves the table ``_parts`` beside the files.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("part", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for part, content in zip(batch.column("part").to_pylist(), batch.column("content"), strict=True):
                 shard = Shard(content.as_py())
                 documents = shard.documents
                 raw = memoryview(shard.ids().tobytes())
@@ -266,14 +293,26 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 crcs = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends, documents["n"].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(len(documents), part, dtype=np.int32)),
                         pa.array(documents["doc_id"], mask=documents["named"] == 0),
                         *[pa.array(documents[c].astype(np.int64)) for c in ("start", "total", "at", "n")],
                         pa.array(crcs, pa.int64()),
                     ],
-                    names=["doc_id", "start", "total", "at", "n", "crc"],
+                    names=["part", "doc_id", "start", "total", "at", "n", "crc"],
                 )
 
-    pieces = stored(files.mapInArrow(run, "doc_id long, start long, total long, at long, n long, crc long"))
+    schema = "part int, doc_id long, start long, total long, at long, n long, crc long"
+    pieces = stored(files.mapInArrow(run, schema))
+    # One row per partition of the shuffle.
+    total, parts = 0, []
+    for row in sorted(pieces.groupBy("part").agg(F.sum("n").alias("n")).collect(), key=lambda row: row.part):
+        parts.append((row.part, total, row.n))
+        total += row.n
+    spark.createDataFrame(parts, "part int, start long, n long").coalesce(1).write.mode("overwrite").parquet(folder + "/_parts")
+    offsets = spark.createDataFrame([(part, start) for part, start, _ in parts], "part int, offset long")
+    pieces = pieces.join(F.broadcast(offsets), "part")
+    for place in ("start", "at"):
+        pieces = pieces.withColumn(place, F.col(place) + F.col("offset"))
     whole = pieces.where("n = total").select("doc_id", "start", F.col("total").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
@@ -300,7 +339,7 @@ def store_ids(docs: DataFrame, path: str, folder: str | None = None, end_id: int
     """
     spark = docs.sparkSession
     folder = folder or f"{work_folder(spark)}/llm/ids-{uuid.uuid4().hex}"
-    rows = tokenized(docs, path, end_id)
-    if rows.isEmpty():
+    if docs.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return read_documents(spark, write_ids(rows, folder, **options))
+    write_ids(docs, path, folder, end_id, **options)
+    return read_documents(spark, folder)

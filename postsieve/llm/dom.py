@@ -40,6 +40,7 @@ _DROPPED_WORDS = set(
     " masthead comment comments disqus respond reply replies share sharing social related recommended newsletter subscribe"
     " subscription login signup search widget toolbar pagination pager skip hidden".split()
 )
+_INLINE_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion hidden".split())
 _DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 _MAIN_WORDS = {"article-body", "articlebody", "article-content", "post-content", "entry-content", "post-body", "main-content", "story-body"}
 
@@ -96,6 +97,30 @@ def is_named(label: str) -> bool:
     return any(re.sub(r"[-_:]*0$", "", word) in _DROPPED_WORDS for word in _marks(label)[1])
 
 
+# Names of reader comments, one or all of them; "comments-open" and the like are none.
+_COMMENT = re.compile(
+    r"(?:user[-_]?|reader[-_]?|post[-_]?)?(?:comments?|repl(?:y|ies)|responses)"
+    r"(?:[-_:]?(?:0|area|block|body|box|container|content|entry|item|list|section|text|thread|wrap|wrapper))*[-_:]?0?"
+)
+
+
+def is_comment(label: str) -> bool:
+    """Whether a class or id names a reader comment or a block of them."""
+    tag, words, _ = _marks(label)
+    return tag != "body" and any(_COMMENT.fullmatch(word) for word in words)
+
+
+def is_inline_advert(label: str) -> bool:
+    """Whether an element within a line is an advert or hidden by a whole word; any other is text of its line."""
+    return any(word in _INLINE_WORDS for word in _marks(label)[1])
+
+
+def is_plainly_dropped(label: str) -> bool:
+    """``is_dropped`` by tag, role or a whole word of class or id, not by a part of a word."""
+    tag, _, roles = _marks(label)
+    return tag in _DROPPED_TAGS or any(r in _DROPPED_ROLES for r in roles) or is_named(label) or is_comment(label)
+
+
 def landmark(label: str) -> int:
     """How clearly an element is the article: 3, 2, 1, or 0 for not at all."""
     tag, words, roles = _marks(label)
@@ -163,7 +188,7 @@ def parse(page: str) -> tuple[Node, list[tuple[int, str]]]:
                 pieces.append(" ")
             continue
         label = _label(tag, markup["attributes"]) if tag in _BLOCK or markup["attributes"] else tag
-        if tag not in _BLOCK and not (markup["attributes"] and is_dropped(label)):
+        if tag not in _BLOCK and not (markup["attributes"] and is_inline_advert(label)):
             continue
         flush()
         if tag in _CLOSES:
@@ -298,6 +323,19 @@ def kept(skeleton: Node, constant: set[int], filled: set[int] | None = None) ->
             parent[child.number] = node.number
     rank = [landmark(node.label) for node in nodes]
     dropped = [is_dropped(node.label) for node in nodes]
+    # What is marked inside a comment, or as one, marks no article.
+    comment = [is_comment(node.label) for node in nodes]
+    for k in range(1, len(nodes)):
+        comment[k] = comment[k] or comment[parent[k]]
+        if comment[k]:
+            rank[k], dropped[k] = 0, True
+    # In what is marked a part of a word is not enough to be no article.
+    marked = [False] * len(nodes)
+    for k in range(1, len(nodes)):
+        up = parent[k]
+        marked[k] = marked[up] or (rank[up] > 0 and not dropped[up])
+        if marked[k] and rank[k] == 0 and not comment[k]:
+            dropped[k] = is_plainly_dropped(nodes[k].label)
     # The highest mark above each node, whether something above is dropped, and the highest
     # mark of the page that no dropped element is or holds.
     above, hidden, plain = [0] * len(nodes), [False] * len(nodes), 0

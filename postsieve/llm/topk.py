@@ -8,6 +8,8 @@ its k-th score; the few best of all blocks are then merged.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,22 +20,26 @@ from postsieve.llm.common import keyed
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
 STEP = 128
-# Components stay below 2**28, so that any score of up to 64 dimensions fits a long.
-MAX_COMPONENT = 1 << 28
+# Vectors with a quantised component from here on are searched apart from the others.
+LARGE = float(1 << 22)
 
 
-def quantised(embedding: Column) -> Column:
-    """floor(256 * x) of each component as long; NULL for a vector that takes no part.
+def usable_vector(embedding: Column) -> Column:
+    """The components as doubles; NULL for a vector that takes no part: a NULL or empty
+    one, and one with a NULL or non-finite component."""
+    bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    return F.when(embedding.isNotNull() & (F.size(embedding) > 0) & ~bad, F.transform(embedding, lambda x: x.cast("double")))
 
-    Such are NULL vectors, empty ones, and those with a NULL, non-finite or huge
-    (at least 2**20) component.
-    """
-    bad = F.exists(
-        embedding,
-        lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) >= F.lit(MAX_COMPONENT / 256.0)),
-    )
-    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * 256.0).cast("long"))
-    return F.when(embedding.isNotNull() & (F.size(embedding) > 0) & ~bad, whole)
+
+def _integers(x: np.ndarray) -> np.ndarray:
+    """floor(256 x) as Python integers of any size."""
+    return np.array([[int(c) * 256 if abs(c) >= 2.0**60 else math.floor(256 * c) for c in row] for row in x.tolist()], dtype=object)
+
+
+def _by_size(x: np.ndarray) -> list[np.ndarray]:
+    """Places of vectors with small and with large components, as far as there are any."""
+    large = np.abs(x).max(axis=1) * 256 >= LARGE
+    return [rows for rows in (np.flatnonzero(~large), np.flatnonzero(large)) if len(rows)]
 
 
 def threshold_search(vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int, lists: np.ndarray,
@@ -67,12 +73,15 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, ow
         bound = (vectors[lists[up, end - 1], up] * query[up]).sum() + (vectors[lists[down, n - end], down] * query[down]).sum()
         held = seen & (ids != own)
         if held.sum() >= k:
-            kth = np.partition(scores[held], -k)[-k]
+            kth = np.sort(scores[held])[-k] if scores.dtype == object else np.partition(scores[held], -k)[-k]
             if kth > bound:
                 break
         step *= 2
     held = np.flatnonzero(seen & (ids != own))
-    best = held[np.lexsort((ids[held], -scores[held]))[:k]]
+    if scores.dtype == object:
+        best = np.array(sorted(held.tolist(), key=lambda i: (-scores[i], ids[i]))[:k], dtype=int)
+    else:
+        best = held[np.lexsort((ids[held], -scores[held]))[:k]]
     return ids[best], scores[best], int(seen.sum())
 
 
@@ -80,18 +89,23 @@ def _search_blocks(k: int):
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": [], "scored": []}
         if len(left) and len(right):
-            vectors, ids = np.stack(left["q"].to_numpy()), left["vec_id"].to_numpy()
-            queries = np.stack(right["q"].to_numpy())
-            # Products of doubles are exact as long as sums stay below 2**53.
-            if float(np.abs(vectors).max()) * float(np.abs(queries).max()) * vectors.shape[1] < 2.0**53:
-                vectors, queries = vectors.astype(np.float64), queries.astype(np.float64)
-            lists = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-            for query, own in zip(queries, right["query_id"].to_numpy(), strict=True):
-                best, scores, scored = threshold_search(vectors, ids, query, own, k, lists)
-                out["query_id"].append(np.full(len(best), own))
-                out["vec_id"].append(best)
-                out["score"].append(scores.astype(np.int64))
-                out["scored"].append(np.full(len(best), scored))
+            all_vectors, all_ids = np.stack(left["x"].to_numpy()), left["vec_id"].to_numpy()
+            all_queries, all_own = np.stack(right["x"].to_numpy()), right["query_id"].to_numpy()
+            for rows in _by_size(all_vectors):
+                for asked in _by_size(all_queries):
+                    vectors, queries = np.floor(256 * all_vectors[rows]), np.floor(256 * all_queries[asked])
+                    # Products of doubles are exact as long as sums stay below 2**53.
+                    if not float(np.abs(vectors).max()) * float(np.abs(queries).max()) * vectors.shape[1] < 2.0**53:
+                        vectors, queries = _integers(all_vectors[rows]), _integers(all_queries[asked])
+                    lists = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
+                    for query, own in zip(queries, all_own[asked], strict=True):
+                        best, scores, scored = threshold_search(vectors, all_ids[rows], query, own, k, lists)
+                        if len(scores) and not -(1 << 63) <= min(scores) <= max(scores) < 1 << 63:
+                            raise OverflowError(f"a score of query {own} does not fit a long")
+                        out["query_id"].append(np.full(len(best), own))
+                        out["vec_id"].append(best)
+                        out["score"].append(np.array([int(s) for s in scores], dtype=np.int64))
+                        out["scored"].append(np.full(len(best), scored))
         return pd.DataFrame({c: np.concatenate(v) if v else np.empty(0, dtype=np.int64) for c, v in out.items()})
 
     return search
@@ -110,12 +124,13 @@ def top_k(
     quantised vectors; ties go to the smaller vec_id.  Vectors of another length
     than the query's are not compared.  Rows without vec_id take no part; a repeated
     (vec_id, vector) row counts once, and of different vectors under one id the best
-    score counts.  Fewer than k candidates give fewer rows; empty tables give none.
+    score counts.  Components of any size count; a score among the best that does not fit a long
+    is an error.  Fewer than k candidates give fewer rows; empty tables give none.
     """
 
     def usable(rows: DataFrame) -> DataFrame:
-        out = keyed(rows, "vec_id", "embedding").select(F.col("vec_id").cast("long"), quantised(F.col("embedding")).alias("q"))
-        return out.where("vec_id IS NOT NULL AND q IS NOT NULL").withColumn("dim", F.size("q"))
+        out = keyed(rows, "vec_id", "embedding").select(F.col("vec_id").cast("long"), usable_vector(F.col("embedding")).alias("x"))
+        return out.where("vec_id IS NOT NULL AND x IS NOT NULL").withColumn("dim", F.size("x"))
 
     rows, asked = usable(vectors), usable(queries)
     blocks = max(1, -(-rows.count() // block_rows))

@@ -47,7 +47,7 @@ def spaced_pieces(text: str) -> list[str]:
 _LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 _LATIN = re.compile(r"[!-~¡-ÿ]+")
 _LATIN_TEXT = re.compile(r"[\t\n\r -~¡-ÿ]*")
-_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+_WORDS = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 
 
 def lower_words(text: str) -> list[str]:
@@ -67,9 +67,13 @@ def lower_words(text: str) -> list[str]:
     return out
 
 
+# One such word by itself.
+_WORD = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[!-/:-@\[-`{{-~¡-©«-±´¶-¸»¿×÷]+")
+
+
 def is_word(piece: str) -> bool:
     """Whether ``piece`` is one word of ``lower_words``, not a part left whole."""
-    return "<|" not in piece and _WORDS.fullmatch(piece) is not None and _LATIN.fullmatch(piece) is not None
+    return _WORD.fullmatch(piece) is not None and "<|" not in piece
 
 
 def joinable(piece: str) -> bool:
@@ -105,9 +109,9 @@ class Memory:
         found = list(map(self._known.get, pieces))
         if None not in found:
             return found
-        missed = dict.fromkeys([p for p, f in zip(pieces, found) if f is None])  # noqa: B905
-        old = {p: self._before[p] for p in missed if p in self._before}
-        new = [p for p in missed if p not in old]
+        missed = {p for p, f in zip(pieces, found) if f is None}  # noqa: B905
+        old = {p: self._before[p] for p in missed & self._before.keys()}
+        new = list(missed - old.keys())
         learned = old | dict(zip(new, self._learn(new))) if new else old  # noqa: B905
         for piece, result in learned.items():
             if len(piece) <= LONGEST:

@@ -1,3 +1,5 @@
+import glob
+import re
 import zlib
 
 import numpy as np
@@ -18,6 +20,12 @@ ODD = [
 ]
 
 
+@pytest.fixture(scope="module")
+def encoder():
+    with open(PATH, encoding="utf-8") as file:
+        return bitplanes.Encoder(file.read()), Tokenizer.from_file(PATH)
+
+
 def brute(rows):
     """(doc_id, start, n, crc) for rows in their order."""
     tokenizer = Tokenizer.from_file(PATH)
@@ -60,9 +68,7 @@ def test_empty_table(spark):
 def test_files_are_whole_and_can_be_read_by_chunk(spark, folder):
     rows = [(i, f"some words number {i}") for i in range(200)]
     bitplanes.store_ids(frame(spark, rows, "doc_id long, text string"), PATH, folder + "/ids", shard_ids=256, chunk_ids=100)
-    import glob
-
-    files = sorted(glob.glob(folder + "/ids/shard=*/part-*"), key=lambda f: int(f.split("shard=")[1].split("/")[0]))
+    files = sorted(glob.glob(folder + "/ids/part=*/seq=*/part-*"), key=lambda f: [int(x) for x in re.findall(r"=(\d+)/", f)])
     tokenizer = Tokenizer.from_file(PATH)
     want = [i for _, t in rows for i in [*tokenizer.encode(t, add_special_tokens=False).ids, 2]]
     shards = []
@@ -70,11 +76,22 @@ def test_files_are_whole_and_can_be_read_by_chunk(spark, folder):
         with open(name, "rb") as file:
             shards.append(Shard(file.read()))
     assert np.concatenate([s.ids() for s in shards]).tolist() == want
-    assert shards[1].chunk(1).tolist() == want[356:456]
+    assert max(len(s.ids()) for s in shards) <= 256 and max(n for _, n, _ in shards[0].chunks) <= 100
+    assert shards[0].chunk(1).tolist() == want[100:200]
+    parts = sorted(map(tuple, spark.read.parquet(folder + "/ids/_parts").collect()))
+    assert sum(n for _, _, n in parts) == len(want) and parts[0][1] == 0
     with pytest.raises(ValueError, match="whole"):
         Shard(shards[0].data[:-9])
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"aZ9'!, .-²ªµßÀÿİ×\n\t\x85\xa0\xad\u0301中", "'s", "'RE", "<|endoftext|>", "<|", "word"]), max_size=12))
+def test_words_against_the_library(encoder, parts):
+    text = "".join(parts)
+    want = encoder[1].encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(next(encoder[0].encode([text])), dtype="<u4").tolist() == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=70), st.sampled_from([1, 8]), st.integers(1, 40))
 def test_round_trip(numbers, bits, chunk):

@@ -153,3 +153,45 @@ def test_skeleton_text_round_trip():
     root, _ = dom.parse("<body><ul><li>a<li>b</ul><p>c</p><p>d</p></body>")
     assert dom.write(root) == "(body(ul(li())p()))"
     assert dom.write(dom.read(dom.write(root))) == dom.write(root)
+
+
+COMMENTS = [
+    "<div id='comments'><article class='comment-body'>{c}</article></div>",
+    "<section class='comments'><article class='comment'>{c}</article></section>",
+    "<div class='comment-list'><article>{c}</article><article>{c}</article></div>",
+    "<ol class='commentlist'><li class='comment'><article><p>{c}</p></article></li></ol>",
+]
+FRAMES = ["<main>{a}{c}</main>", "<div class='content'>{a}{c}</div>", "<article>{a}{c}</article>", "<main>{a}</main>{c}"]
+
+
+def test_the_article_and_not_its_comments(spark):
+    """Hosts of every frame and kind of comment, from known articles."""
+    pages, want = [], {}
+    for host, (frame, comment) in enumerate((f, c) for f in FRAMES for c in COMMENTS):
+        for n in range(4):
+            number = 10 * host + n
+            blocks = [f"Title {number} of host {host}", *[f"Paragraph {k} of {number} tells {k * number + 7} things." for k in range(n + 2)]]
+            article = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+            said = comment.format(c=f"Reader {number} says {number * 31} much longer words than the article has, over and over again.")
+            body = frame.format(a=article, c=said)
+            pages.append((number, f"http://h{host}.example/{n}", f"<html><body><nav>Home</nav>{body}<footer>End</footer></body></html>"))
+            want[number] = "\n".join(blocks)
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(table).select("page_id", "text").collect()}
+    assert got == want
+
+
+def test_parts_of_class_words_drop_nothing_of_an_article(spark):
+    def page(n):
+        return f"""<body><nav>menu {n}</nav><article><h1>Title {n}</h1>
+            <section class='side-effects'><p>Effects of {n}.</p></section><div class='header-note'>Note {n}.</div>
+            <div class='related-work'>Work {n}.</div><p class='sharing-economy'>Economy {n}.</p><div id='menu-of-the-day'>Soup {n}.</div>
+            <p>We <span class='share'>share {n}</span> and <a class='ad-link' href='x'>link {n}</a> here.</p>
+            <div class='share'>Tell others {n}</div><aside>Aside {n}</aside></article></body>"""
+
+    table = spark.createDataFrame([(n, f"http://a.example/{n}", page(n)) for n in range(5)], "page_id long, url string, html string")
+    for r in html.extract(table).collect():
+        n = r.page_id
+        assert r.text.split("\n") == [
+            f"Title {n}", f"Effects of {n}.", f"Note {n}.", f"Work {n}.", f"Economy {n}.", f"Soup {n}.", f"We share {n} and link {n} here.",
+        ]

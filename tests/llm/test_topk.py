@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from postsieve.llm import topk
 
@@ -42,6 +43,22 @@ def test_against_brute_force(spark):
     assert found(spark, rows, block_rows=16, query_rows=7) == want
 
 
+def test_large_components_take_part(spark):
+    assert found(spark, [(0, [1.0, 0.0]), (1, [2.0**20, 1.0]), (2, [3.0, 1.0])]) == [(0, 1, 1, 2**36), (0, 2, 2, 3 * 2**16)]
+    draw = np.random.default_rng(9)
+    rows = [(n, [float(np.float32(x)) for x in draw.normal(0, 0.2, 4)]) for n in range(60)]
+    # 2**40 against small ones, and against another of 2**20: sums beyond 2**53, none beyond a long.
+    rows += [(61, [2.0**40, 0.0, 1.0, 0.5]), (65, [0.25, 2.0**20, -(2.0**22), 1.0]), (66, [0.0, 2.0**19 + 0.5, 3.0, 1.0])]
+    want = brute(rows, [i for i, _ in rows if i % 5 == 0], 5)
+    assert found(spark, rows) == want
+    assert found(spark, rows, block_rows=7, query_rows=5) == want
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    with pytest.raises(Exception, match="fit a long"):
+        found(spark, [(0, [2.0**40]), (1, [2.0**40])])
+
+
 def test_few_candidates_and_empty_table(spark):
     assert found(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 131072)]
     assert found(spark, [(0, [1.0])]) == []

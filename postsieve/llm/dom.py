@@ -40,7 +40,11 @@ _DROPPED_WORDS = set(
     " masthead comment comments disqus respond reply replies share sharing social related recommended newsletter subscribe"
     " subscription login signup search widget toolbar pagination pager skip hidden".split()
 )
-_INLINE_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion hidden".split())
+# Names of an advert within a line, or of its box, and of what is not shown.
+_INLINE = re.compile(
+    r"(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?)"
+    r"(?:[-_:](?:0|banner|block|box|container|label|slot|unit|wrap|wrapper))*|hidden"
+)
 _DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 _MAIN_WORDS = {"article-body", "articlebody", "article-content", "post-content", "entry-content", "post-body", "main-content", "story-body"}
 
@@ -111,8 +115,8 @@ def is_comment(label: str) -> bool:
 
 
 def is_inline_advert(label: str) -> bool:
-    """Whether an element within a line is an advert or hidden by a whole word; any other is text of its line."""
-    return any(word in _INLINE_WORDS for word in _marks(label)[1])
+    """Whether an element within a line is an advert or hidden by its name; any other is text of its line."""
+    return any(_INLINE.fullmatch(word) for word in _marks(label)[1])
 
 
 def is_plainly_dropped(label: str) -> bool:

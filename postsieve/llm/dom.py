@@ -122,7 +122,8 @@ def is_inline_advert(label: str) -> bool:
 def is_plainly_dropped(label: str) -> bool:
     """``is_dropped`` by tag, role or a whole word of class or id, not by a part of a word."""
     tag, _, roles = _marks(label)
-    return tag in _DROPPED_TAGS or any(r in _DROPPED_ROLES for r in roles) or is_named(label) or is_comment(label)
+    named = is_named(label) or is_comment(label) or is_inline_advert(label)
+    return named or tag in _DROPPED_TAGS or any(r in _DROPPED_ROLES for r in roles)
 
 
 def landmark(label: str) -> int:

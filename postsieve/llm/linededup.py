@@ -1,14 +1,14 @@
 """Line deduplication, in DataFrame functions only.
 
-Lines become 128-bit hashes, range-partitioned by (hash, document) and sorted by
-document and position, so that first occurrences stream by and a line that a
+Lines become 128-bit hashes, range-partitioned by (hash, block of documents) and sorted
+by document and position, so that first occurrences stream by and a line that a
 third of all documents share still spreads over many partitions.  What comes back
 are sparse bitmaps per document, not text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import small, stored, text_or_empty
@@ -16,6 +16,7 @@ from postsieve.llm.common import small, stored, text_or_empty
 MIN_CHARS = 40
 MIN_DOCS = 5
 BROADCAST_ROWS = 500_000
+BLOCK_BITS = 12  # documents whose ids agree but for these bits are one block
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,6 +46,58 @@ def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``opens``: 1 on the first line of its hash in its document, else 0.
+
+    Ranges are cut by (hash, block of documents), and sorted within by document, the
+    largest first, and position.  The window asks for that very partitioning and order, so it
+    streams over the sorted rows without another shuffle, and no run is longer than
+    what a block of documents holds of one line.
+    """
+    blocks = lines.withColumn("block", F.shiftright(F.col("doc_id").cast("long"), BLOCK_BITS))
+    spread = blocks.repartitionByRange("h1", "h2", "block").sortWithinPartitions(
+        "h1", "h2", "block", F.desc("doc_id"), "pos"
+    )
+    run = Window.partitionBy("h1", "h2", "block").orderBy(F.desc("doc_id"), "pos")
+    opens = F.when(F.lag("doc_id").over(run) == F.col("doc_id"), 0).otherwise(1)
+    return spread.withColumn("opens", opens).drop("block")
+
+
+def crowded_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """(h1, h2, keeper, n): hashes that open in ``min_docs`` documents, and their rows.
+
+    The ranges hold a hash together but for the cuts, so each task sends one row per hash.
+    """
+    return (
+        first_occurrences(lines)
+        .groupBy("h1", "h2")
+        .agg(F.sum("opens").alias("docs"), F.max("doc_id").alias("keeper"), F.count("*").alias("n"))
+        .where(F.col("docs") >= min_docs)
+        .select("h1", "h2", "keeper", "n")
+    )
+
+
+def lines_of(lines: DataFrame, crowded: DataFrame) -> DataFrame:
+    """The rows of ``lines`` that are in ``crowded`` (stored), with their keeper.
+
+    Beyond the bound of the broadcast the hashes with most rows, as many powers of two as stay
+    below it, are still broadcast; so a hash that is left to the shuffle has few rows.
+    """
+    keys = ["h1", "h2"]
+    if small(crowded, BROADCAST_ROWS):
+        return lines.join(F.broadcast(crowded), keys)
+    power = F.floor(F.log2("n"))
+    room, least = BROADCAST_ROWS, 64
+    for row in crowded.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["power"]
+    heavy = F.broadcast(crowded.where(power >= least))
+    rest = lines.join(heavy, keys, "left_anti").join(crowded.where(power < least), keys)
+    return lines.join(heavy, keys).unionByName(rest)
+
+
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, th, dropped): per document a sparse bitmap of the lines that go.
 
@@ -54,23 +107,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     among them.
     """
     lines = stored(long_lines(docs, min_chars))
-    spread = lines.repartitionByRange(F.col("h1"), F.col("h2"), F.col("doc_id")).sortWithinPartitions(
-        "h1", "h2", "doc_id", "pos"
-    )
-    # The range partitioning already holds each (hash, document) in one place, in
-    # order; from there every task sends one row per hash.
-    first = spread.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("first_pos"))
-    crowded = (
-        first.groupBy("h1", "h2")
-        .agg(F.count("*").alias("docs"), F.max("doc_id").alias("keeper"))
-        .where(F.col("docs") >= min_docs)
-        .select("h1", "h2", "keeper")
-    )
-    crowded = stored(crowded)
-    if small(crowded, BROADCAST_ROWS):
-        crowded = F.broadcast(crowded)
+    crowded = stored(crowded_lines(lines, min_docs))
     bit = F.expr("shiftleft(1L, pos % 64)")
-    gone = lines.join(crowded, ["h1", "h2"]).where(F.col("doc_id") != F.col("keeper"))
+    gone = lines_of(lines, crowded).where(F.col("doc_id") != F.col("keeper"))
     words = (
         gone.repartition("doc_id", "th")
         .groupBy("doc_id", "th", F.expr("pos div 64").cast("int").alias("word"))

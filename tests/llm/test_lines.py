@@ -1,6 +1,8 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
+
 from postsieve.llm import linededup
 from tests.llm.conftest import frame, odd_documents
 
@@ -46,6 +48,34 @@ def test_large_way_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, linededup.line_report(docs).collect()), key=str) == small
 
 
+@pytest.mark.parametrize("bound", [1, 2, 3])
+def test_heavy_lines_are_broadcast_beyond_the_bound(spark, monkeypatch, bound):
+    texts = [(n, "\n".join([A, B, f"{A} again"][: 1 + n % 3])) for n in range(30)]
+    docs = frame(spark, [(d, t, "en", "s", len(t)) for d, t in texts])
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", bound)
+    found = sorted(map(tuple, linededup.line_report(docs).collect()), key=str)
+    assert found == sorted(brute(texts), key=str)
+
+
+@pytest.mark.parametrize("bits", [0, 2, 12])
+def test_runs_across_blocks_and_ranges(spark, monkeypatch, bits):
+    texts = [(n * 3 - 40, f"{A}\n{A}\nown {n}") for n in range(40)] + [(2**62, A)]
+    docs = frame(spark, [(d, t, "en", "s", len(t)) for d, t in texts])
+    monkeypatch.setattr(linededup, "BLOCK_BITS", bits)
+    found = sorted(map(tuple, linededup.line_report(docs).collect()), key=str)
+    assert found == sorted(brute(texts), key=str)
+
+
+def test_first_occurrences_stream_over_one_sort(spark):
+    docs = frame(spark, [(d, t, "en", "s", len(t or "")) for d, t in rows()])
+    crowded = linededup.crowded_lines(linededup.long_lines(docs, 40), 5)
+    plan = crowded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and plan.count("Window [") == 1
+    sorts = [line for line in plan.split("\n") if " Sort [" in line]
+    assert len(sorts) == 1 and "doc_id" in sorts[0] and "pos" in sorts[0]
+    assert plan.count("Exchange ") == 2  # by ranges, and one row per hash and task
+
+
 def test_text_and_length_follow(spark):
     docs = frame(spark, [(n, f"own\n{A}", "en", "s", 99) for n in range(5)])
     kept = {r["doc_id"]: r for r in linededup.dedup_lines(docs).collect()}

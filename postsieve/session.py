@@ -64,3 +64,10 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(location):
         return []
     return [s.getPath().getName() for s in files.listStatus(location) if s.isDirectory()]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; nothing happens if it is not there."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)

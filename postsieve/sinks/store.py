@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postsieve.operators.arrivals import anti_seen_batch
+from postsieve.operators.arrivals import anti_seen, seen_among
 from postsieve.operators.sizing import fits_broadcast
 from postsieve.operators.upsert import latest_per_key
 from postsieve.schemas import RUN_TABLES, TABLES
 from postsieve.session import child_folders, path_exists
+from postsieve.sinks.seen_index import SeenIndex
 
 _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.LongType())]
 
@@ -52,6 +53,8 @@ class Store:
         reset unless ``keep_seen`` is off."""
         for table, schema in _ALL.items():
             empty = self.spark.createDataFrame([], schema)
+            if reset and table == "scanned_posts" and not keep_seen:
+                SeenIndex(self).drop()
             if reset and not (table == "scanned_posts" and keep_seen):
                 # Overwriting the folder drops every partition in it.
                 empty.withColumn("run", F.lit(-1)).withColumn("epoch", F.lit(-1)).write.partitionBy(
@@ -80,10 +83,10 @@ class Store:
 
     def versions(self, table: str) -> DataFrame:
         """All rows with the run and epoch that wrote them, without deleted ones."""
-        return self._alive(table, self._written(table))
+        return self.alive(table, self._written(table))
 
-    def _alive(self, table: str, rows: DataFrame) -> DataFrame:
-        """Rows that no later deletion concerns.  The deletions are cut to one per id before they meet the rows."""
+    def alive(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows (with run and epoch) that no later deletion concerns.  The deletions are cut to one per id before they meet the rows."""
         if table not in _DELETED_BY or child_folders(self.spark, self.path("deletions")) in ([], [_EMPTY.split("/")[0]]):
             return rows
         deletions = self._written("deletions")
@@ -145,7 +148,10 @@ class Store:
 
     def batch(self, table: str, run: int, epoch: int) -> DataFrame:
         """What one batch wrote, from its own partition."""
-        return self.spark.read.schema(_ALL[table]).parquet(f"{self.path(table)}/run={run}/epoch={epoch}")
+        return self.spark.read.schema(_ALL[table]).parquet(self.batch_path(table, run, epoch))
+
+    def batch_path(self, table: str, run: int, epoch: int) -> str:
+        return f"{self.path(table)}/run={run}/epoch={epoch}"
 
     def read(self, table: str) -> DataFrame:
         """The table as it stands: for posts the newest version of each id."""
@@ -159,7 +165,7 @@ class Store:
         written = Observation()
         rows.select(*_ALL[table].names).observe(written, F.count(F.lit(1)).alias("n")).write.mode(
             "overwrite"
-        ).parquet(f"{self.path(table)}/run={run}/epoch={epoch}")
+        ).parquet(self.batch_path(table, run, epoch))
         return written.get["n"]
 
     def upsert_posts(self, posts: DataFrame, run: int, epoch: int) -> int:
@@ -197,11 +203,28 @@ class Store:
         rows = rows.where("external_id IS NOT NULL OR keyword_id IS NOT NULL").distinct()
         return self.append("deletions", rows.withColumn("forget", F.lit(forget)), run, epoch)
 
+    def index_seen(self) -> None:
+        """Build the index of seen ids; from now on batches keep it up and are compared with it."""
+        SeenIndex(self).build()
+
+    def seen_among(self, batch: DataFrame, run: int, epoch: int) -> DataFrame:
+        """What earlier batches have seen of the ids of ``batch``: by the index if there is one, else by a scan."""
+        index = SeenIndex(self)
+        if index.exists():
+            return index.among(batch, run, epoch)
+        return seen_among(batch, self.before("scanned_posts", run, epoch))
+
+    def append_seen(self, ids: DataFrame, run: int, epoch: int) -> int:
+        """Write the new ids of a batch, in the index, too, if there is one."""
+        index = SeenIndex(self)
+        if index.exists():
+            index.append(ids, run, epoch)
+        return self.append("scanned_posts", ids, run, epoch)
+
     def insert_seen(self, ids: DataFrame, run: int, epoch: int) -> int:
         """Add the ids that no earlier batch added."""
         batch = ids.select("external_id").distinct()
-        new = anti_seen_batch(batch, self.before("scanned_posts", run, epoch))
-        return self.append("scanned_posts", new, run, epoch)
+        return self.append_seen(anti_seen(batch, self.seen_among(batch, run, epoch)), run, epoch)
 
     def newest_run(self) -> int:
         """The highest run that wrote anything, -1 for none."""

@@ -3,7 +3,6 @@
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from postsieve.operators.arrivals import seen_among
 from postsieve.operators.progress import keyword_delta
 from postsieve.operators.upsert import bridge_rows
 from postsieve.plans.collect import collect_all, collect_first_seen
@@ -50,7 +49,7 @@ def write_batch(
     links are there already under another run, so links are inserted only if absent;
     ids, written last, are new whenever they come this far.
     """
-    seen = seen_among(candidates, store.before("scanned_posts", run, epoch))
+    seen = store.seen_among(candidates, run, epoch)
     options = {"lemmas": lemmas} if mode == "all" else {}
     collected = MODES[mode](candidates, keywords, seen, **options)
     # Both are used more than once; the batch itself is read for them only once.
@@ -64,7 +63,7 @@ def write_batch(
         if counts:
             new_links = store.batch("post_keywords", run, epoch)
             written["keyword_deltas"] = store.append("keyword_deltas", keyword_delta(candidates, new_links), run, epoch)
-        return written | {"scanned_posts": store.append("scanned_posts", collected.seen, run, epoch)}
+        return written | {"scanned_posts": store.append_seen(collected.seen, run, epoch)}
     finally:
         matched.unpersist()
         base.unpersist()

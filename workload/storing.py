@@ -263,10 +263,12 @@ def _landing(rows):
     return rows.select(*schemas.CANDIDATES.names)
 
 
-def _ingest(spark, sf_dir, compacted=False):
+def _ingest(spark, sf_dir, compacted=False, indexed=False):
     """Two feeds land as files and are ingested one after the other."""
     store = Store(spark, _new_folder(spark, "store"))
     store.bootstrap()
+    if indexed:
+        store.index_seen()
     keywords = inputs.watched(spark)
     feeds = [inputs.turns(spark, sf_dir), inputs.posts(spark, sf_dir)]
     for feed in feeds:
@@ -310,6 +312,18 @@ def ingest_compacted(spark, sf_dir):
     return _posts_with_links(_ingest(spark, sf_dir, compacted=True))
 
 
-@query("ingest_seen", f"{with_sql('posts', 'turns')} SELECT external_id FROM posts UNION SELECT external_id FROM turns")
+_SEEN = f"{with_sql('posts', 'turns')} SELECT external_id FROM posts UNION SELECT external_id FROM turns"
+
+
+@query("ingest_seen", _SEEN)
 def ingest_seen(spark, sf_dir):
     return _ingest(spark, sf_dir).read("scanned_posts")
+
+
+@query("ingest_indexed", _SEEN)
+def ingest_indexed(spark, sf_dir):
+    """The same with an index of the seen ids; both feeds arrive a second time, too."""
+    store = _ingest(spark, sf_dir, indexed=True)
+    for epoch, feed in enumerate([inputs.posts(spark, sf_dir), inputs.turns(spark, sf_dir)]):
+        store.insert_seen(feed, store.newest_run() + 1, epoch)
+    return store.read("scanned_posts")

@@ -38,16 +38,65 @@ NOTICES = {
     "cc0": ("cc0-1.0", 0.7),
     "public domain": ("public-domain", 0.5),
     "the unlicense": ("unlicense", 0.7),
+    "isc license": ("isc", 0.9),
+    "zlib license": ("zlib", 0.9),
+    "boost software license": ("bsl-1.0", 0.9),
+    "artistic license": ("artistic", 0.8),
+    "eclipse public license": ("epl", 0.9),
+    "european union public licence": ("eupl", 0.9),
+    "open software license": ("osl", 0.8),
+    "common development and distribution license": ("cddl", 0.9),
+    "sil open font license": ("ofl", 0.9),
+    "business source license": ("busl", 0.9),
+    "server side public license": ("sspl", 0.9),
+    "elastic license": ("elastic", 0.7),
+    "permission is hereby granted free of charge to any person obtaining a copy": ("mit", 0.8),
+    "redistribution and use in source and binary forms": ("bsd", 0.8),
 }
 BASE_WEIGHT = {"cc-by": 0.6, "gpl": 0.8, "reserved": 0.6}
 TAG, TAG_WEIGHT = "spdx license identifier", 0.95
-_EXPRESSION = re.compile(r"spdx-license-identifier:[ \t]*([^\n\r]*)", re.IGNORECASE)
+_TAG_MARK = b"spdx-license-identifier:"
+_LINE_END = re.compile(rb"[\r\n]")
 _COMMENT_END = re.compile(r"\*/|-->")
 _TOKEN = re.compile(r"[()]|[^\s()]+")
 
-# Families whose terms bind works built on the licensed one; all else known is permissive.
-COPYLEFT = ("gpl", "lgpl", "agpl", "mpl", "epl", "eupl", "cc-by-sa", "osl")
-KNOWN = (*COPYLEFT, "mit", "apache", "bsd", "isc", "zlib", "unlicense", "cc0", "cc-by", "0bsd", "bsl", "artistic")
+# What a licence asks for, from the freest to what nobody here knows.
+CLASSES = ("permissive", "copyleft", "no-derivatives", "non-commercial", "source-available", "unknown")
+
+
+def _versions(names: str, versions: str, endings: tuple[str, ...] = ("",)) -> list[str]:
+    return [f"{name}-{version}{ending}" for name in names.split() for version in versions.split() for ending in endings]
+
+
+_GNU = ("", "-only", "-or-later")
+_CC = "1.0 2.0 2.5 3.0 4.0"
+# Identifiers of the public licence list, by class.
+_IDENTIFIERS = {
+    "permissive": [
+        *"mit mit-0 x11 isc zlib 0bsd unlicense ncsa postgresql wtfpl curl ms-pl hpnd".split(),
+        *"apache-1.0 apache-1.1 apache-2.0 bsl-1.0 cc0-1.0 upl-1.0 blueoak-1.0.0 python-2.0 psf-2.0".split(),
+        *"bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause".split(),
+        *_versions("artistic", "1.0 2.0"),
+        *_versions("afl", "1.1 1.2 2.0 2.1 3.0"),
+        *_versions("cc-by", _CC),
+    ],
+    "copyleft": [
+        *_versions("gpl", "1.0 2.0 3.0", _GNU),
+        *_versions("lgpl", "2.0 2.1 3.0", _GNU),
+        *_versions("agpl", "1.0 3.0", _GNU),
+        *_versions("mpl", "1.0 1.1 2.0"),
+        *_versions("epl", "1.0 2.0"),
+        *_versions("eupl", "1.0 1.1 1.2"),
+        *_versions("osl", "1.0 1.1 2.0 2.1 3.0"),
+        *_versions("cddl ofl", "1.0 1.1"),
+        *_versions("cc-by-sa", _CC),
+        "mpl-2.0-no-copyleft-exception", "ms-rl",
+    ],
+    "no-derivatives": _versions("cc-by-nd", _CC),
+    "non-commercial": [*_versions("cc-by-nc cc-by-nc-sa cc-by-nc-nd", _CC), "polyform-noncommercial-1.0.0"],
+    "source-available": ["busl-1.1", "sspl-1.0", "elastic-2.0", "polyform-small-business-1.0.0"],
+}
+CLASS_OF = {name: kind for kind, names in _IDENTIFIERS.items() for name in names}
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -106,30 +155,41 @@ def expression_of(line: str) -> str:
     return " ".join(tokens[:end])
 
 
-def _family(licence: str, names: tuple[str, ...]) -> bool:
-    return any(licence == n or licence.startswith(n + "-") for n in names)
-
+def evaluate(postfix: list[str]) -> tuple[set[str], bool, str]:
+    """The licences of an expression, whether a permissive choice satisfies it, and its class.
 
-def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
-    """The licences of an expression, and whether a permissive choice satisfies it.
-
-    ``a or b`` is permissive if one is, ``a and b`` if both are; ``a with e`` as a, where a
-    named exception frees a copyleft licence.  Unknown licences are not permissive.
+    ``a or b`` has the freer class of both, ``a and b`` the less free one; ``a with e`` that of a,
+    where a named exception frees a copyleft licence.  Only exact identifiers are known
+    (``CLASS_OF``; a ``+`` behind one is let pass), all else is unknown, which counts as least free.
     """
-    stack: list[tuple[set[str], bool]] = []
+    stack: list[tuple[set[str], int]] = []
     for token in postfix:
         if token not in _PRECEDENCE:
-            licence = token.rstrip("+").strip(".,;*/")
-            stack.append(({licence}, _family(licence, KNOWN) and not _family(licence, COPYLEFT)))
+            licence = token.strip(".,;*/").rstrip("+")
+            stack.append(({licence}, CLASSES.index(CLASS_OF.get(licence, "unknown"))))
             continue
-        (right, free_right), (left, free_left) = stack.pop(), stack.pop()
+        (right, right_class), (left, left_class) = stack.pop(), stack.pop()
         if token == "with":
-            stack.append((left, free_left or any("exception" in e for e in right)))
-        elif token == "and":
-            stack.append((left | right, free_left and free_right))
+            freed = CLASSES[left_class] == "copyleft" and any("exception" in e for e in right)
+            stack.append((left, 0 if freed else left_class))
         else:
-            stack.append((left | right, free_left or free_right))
-    return stack.pop()
+            stack.append((left | right, (max if token == "and" else min)(left_class, right_class)))
+    found, kind = stack.pop()
+    return found, kind == 0, CLASSES[kind]
+
+
+def tag_expressions(raw: bytes, flat: bytes, first_words: list[int]) -> Iterator[str]:
+    """What follows the tags that begin at these words, to the end of their lines.
+
+    ``flat`` is ``raw`` as ``scan`` splits it, byte for byte, so the words are found again in the text.
+    """
+    bare = np.frombuffer(flat, dtype=np.uint8) != 32
+    starts = np.flatnonzero(bare & ~np.concatenate([[False], bare[:-1]]))
+    for k in first_words:
+        start = int(starts[k])
+        end = start + len(_TAG_MARK)
+        if raw[start:end].lower() == _TAG_MARK:
+            yield _LINE_END.split(raw[end:], maxsplit=1)[0].decode("utf-8", "surrogatepass")
 
 
 @cache
@@ -147,44 +207,49 @@ _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() el
 
 
 def scan(text: str) -> tuple[int, int, int | None, int | None, str, str, float, str]:
-    """n_words, n_base, first_word, last_word, base_labels, labels, score, terms of a whole text."""
-    words = text.encode("utf-8", "surrogatepass").translate(_WORDS).split()
+    """n_words, n_base, first_word, last_word, base_labels, labels, score, terms, classes of a whole text."""
+    raw = text.encode("utf-8", "surrogatepass")
+    flat = raw.translate(_WORDS)
+    words = flat.split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     hits = list(_automaton().iter(line))
     if not hits:
-        return len(words), 0, None, None, "", "", 0.0, ""
+        return len(words), 0, None, None, "", "", 0.0, "", ""
     blanks = np.flatnonzero(np.frombuffer(line.encode("latin-1"), dtype=np.uint8) == 32)
-    base, weights, places, terms = set(), {}, [], set()
-    tagged = False
+    base, weights, places, tags = set(), {}, [], []
+    terms, classes = set(), set()
     for end, phrase in hits:
+        first = int(np.searchsorted(blanks, end - len(phrase) - 1))
         if phrase in BASE:
-            places.append(int(np.searchsorted(blanks, end - len(phrase) - 1)))
+            places.append(first)
             label = BASE[phrase]
             base.add(label)
             weights[label] = max(weights.get(label, 0.0), BASE_WEIGHT[label])
         if phrase in NOTICES:
             label, weight = NOTICES[phrase]
             weights[label] = max(weights.get(label, 0.0), weight)
-        tagged = tagged or phrase == TAG
-    for line in _EXPRESSION.findall(text) if tagged else []:
+        if phrase == TAG:
+            tags.append(first)
+    for line in tag_expressions(raw, flat, tags) if tags else []:
         try:
-            found, free = evaluate(to_postfix(expression_of(line)))
+            found, free, kind = evaluate(to_postfix(expression_of(line)))
         except ValueError:
             continue
-        terms.add("permissive" if free else "restricted")
+        classes.add(kind)
+        terms.add("permissive" if free else "unknown" if kind == "unknown" else "restricted")
         for label in found - {""}:
             weights[label.replace(",", "")] = TAG_WEIGHT
     missed = 1.0
     for weight in weights.values():
         missed *= 1 - weight
     span = (min(places), max(places)) if places else (None, None)
-    return len(words), len(places), *span, ",".join(sorted(base)), ",".join(sorted(weights)), 1 - missed, ",".join(sorted(terms))
+    return len(words), len(places), *span, ",".join(sorted(base)), ",".join(sorted(weights)), 1 - missed, ",".join(sorted(terms)), ",".join(sorted(classes))
 
 
-_COLUMNS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "terms"]
+_COLUMNS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "terms", "classes"]
 _SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string,"
-    " score double, terms string"
+    " score double, terms string, classes string"
 )
 
 
@@ -194,7 +259,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ``labels`` has the base labels, those of further notices and the licences of
     tag expressions, each as far as it is well formed; ``score`` is the chance that one of the findings is
     right if each is by its weight; ``terms`` says whether tags leave a permissive
-    choice.  NULL texts are empty; repeated rows each get their row.
+    choice (permissive, restricted, unknown) and ``classes`` which of ``CLASSES`` they are.  NULL texts are empty; repeated rows each get their row.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

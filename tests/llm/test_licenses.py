@@ -76,6 +76,41 @@ def test_tags_end_where_the_expression_does(line, labels, terms):
     assert (found[5], found[7]) == (labels, terms)
 
 
+@pytest.mark.parametrize(
+    "expression, kind",
+    [
+        ("CC-BY-4.0", "permissive"),
+        ("CC-BY-NC-4.0", "non-commercial"),
+        ("CC-BY-NC-SA-4.0", "non-commercial"),
+        ("CC-BY-ND-4.0", "no-derivatives"),
+        ("CC-BY-SA-4.0", "copyleft"),
+        ("BSL-1.0", "permissive"),
+        ("BUSL-1.1", "source-available"),
+        ("BSL-1.1", "unknown"),
+        ("SSPL-1.0", "source-available"),
+        ("GPL-3.0-or-later", "copyleft"),
+        ("GPL-2.0+", "copyleft"),
+        ("MIT-like", "unknown"),
+        ("Apache-2.0 OR Mine-1.0", "permissive"),
+        ("Apache-2.0 AND Mine-1.0", "unknown"),
+        ("CC-BY-NC-4.0 AND MIT", "non-commercial"),
+        ("CC-BY-NC-4.0 WITH some-exception", "non-commercial"),
+        ("Mine-1.0 WITH some-exception", "unknown"),
+    ],
+)
+def test_classes_of_exact_identifiers(expression, kind):
+    assert licenses.evaluate(licenses.to_postfix(expression))[2] == kind
+    found = licenses.scan(f"\u4e2d é\n# SPDX-License-Identifier: {expression}\nmore")
+    terms = kind if kind in ("permissive", "unknown") else "restricted"
+    assert (found[7], found[8]) == (terms, kind)
+
+
+def test_tags_are_found_where_the_automaton_says():
+    text = "spdx license identifier: MIT\nxSPDX-License-Identifier: ISC\n-- SPDX-License-Identifier:\tZlib\r\nSPDX-License-Identifier:"
+    assert licenses.scan(text)[5] == "zlib"
+    assert licenses.scan("Ünï 中 spdx-license-identifier: 0BSD" + "\n spdx-License-identifier: MIT" * 500)[5] == "0bsd,mit"
+
+
 def test_labels_and_terms(spark):
     text = "// SPDX-License-Identifier: MIT OR Apache-2.0\nReleased under the MIT License."
     row = licenses.scan_licenses(frame(spark, [(1, text, "en", "s", 0)])).first()

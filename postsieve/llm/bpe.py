@@ -18,6 +18,7 @@ import json
 import struct
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -268,7 +269,7 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], list[tuple[bytes, byte
     return vocabulary, [(raw(a), raw(b)) for a, b in pairs], specials
 
 
-_BUILT: dict[int, Tokenizer] = {}
+_BUILT: dict[str, Tokenizer] = {}
 
 
 def tokenize(docs: DataFrame, path: str) -> DataFrame:
@@ -295,7 +296,8 @@ def token_report(docs: DataFrame, path: str) -> DataFrame:
 def _apply(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
     names = [field.strip().split(" ")[0] for field in schema.split(",")]
-    number = hash(path)
+    # Workers live on and keep the model; another vocabulary under the same path has another name.
+    number = hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if number not in _BUILT:

@@ -1,9 +1,11 @@
+import json
 import random
+from pathlib import Path
 
 import pytest
 
 from postsieve.llm import bpe
-from tests.llm.conftest import odd_documents
+from tests.llm.conftest import frame, odd_documents
 
 tokenizers = pytest.importorskip("tokenizers")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -72,3 +74,13 @@ def test_odd_documents(spark, path, own):
     ids = {r["doc_id"]: r["ids"] for r in bpe.tokenize(docs, path).collect()}
     assert ids[6] == own.encode("ünïcödé 中文 🙂   tail").tolist()
     assert bpe.token_report(docs.limit(0), path).count() == 0
+
+
+def test_another_vocabulary_under_the_same_path_is_used(spark, path, own, tmp_path):
+    docs = frame(spark, [(1, "the same words", "en", "s", 14)])
+    data = json.loads(Path(path).read_text(encoding="utf-8"))
+    changing = tmp_path / "vocabulary.json"
+    for merges, n_tokens in ((data["model"]["merges"], len(own.encode("the same words"))), ([], 14)):
+        data["model"]["merges"] = merges
+        changing.write_text(json.dumps(data), encoding="utf-8")
+        assert bpe.token_report(docs, str(changing)).first()["n_tokens"] == n_tokens

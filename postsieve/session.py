@@ -71,3 +71,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def remove_files(spark: SparkSession, path: str) -> None:
+    """Remove the data files of a folder; marks such as ``_SUCCESS`` and the folder itself stay."""
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(location) if files.exists(location) else []:
+        if not status.getPath().getName().startswith("_"):
+            files.delete(status.getPath(), True)

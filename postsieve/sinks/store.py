@@ -4,7 +4,7 @@ Every write goes to its own partition ``run=<r>/epoch=<e>`` and replaces what an
 earlier attempt at the same batch left there, so a replay changes nothing and no
 write touches old data.  Posts keep their versions; readers take the newest one.
 Seen ids and post-keyword links are inserted only if no earlier batch holds them.
-``compact`` rewrites many small batches into one folder, after which readers skip
+``compact`` takes batches into files with known ranges of ids, after which readers skip
 their partitions.  Posts and keywords are deleted by rows that say so; what was written
 up to then under their ids is read no more, links included.  One writer at a time.
 """
@@ -19,7 +19,8 @@ from postsieve.operators.arrivals import anti_seen, seen_among
 from postsieve.operators.sizing import fits_broadcast
 from postsieve.operators.upsert import latest_per_key
 from postsieve.schemas import RUN_TABLES, TABLES
-from postsieve.session import child_folders, path_exists
+from postsieve.session import child_folders
+from postsieve.sinks.ranges import ROWS_PER_RANGE, Ranges
 from postsieve.sinks.seen_index import SeenIndex
 
 _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.LongType())]
@@ -61,6 +62,8 @@ class Store:
                     "run", "epoch"
                 ).mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path(table))
             empty.write.mode("overwrite").parquet(f"{self.path(table)}/{_EMPTY}")
+            if table in TABLES:
+                self.ranges(table).declare()
 
     def register(self, database: str) -> None:
         """Make the tables known to the catalog under ``database``, as ``read`` shows them.
@@ -70,7 +73,7 @@ class Store:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.base}/_catalog'")
         for table, schema in TABLES.items():
             columns = ", ".join(schema.names)
-            rows = f"parquet.`{self.path(table)}`"
+            rows = self.ranges(table).sql()
             for column, deleted in _DELETED_BY.get(table, []):
                 forget = " AND d.forget" if table == "scanned_posts" else ""
                 rows = f"""(SELECT * FROM {rows} t WHERE NOT EXISTS (
@@ -102,43 +105,34 @@ class Store:
         return rows.select(*_ALL[table].names, "run", "epoch")
 
     def _written(self, table: str) -> DataFrame:
-        schema = T.StructType(_ALL[table].fields + _VERSION)
-        rows = self.spark.read.schema(schema).parquet(self.path(table))
-        bound = self._compacted_before(table)
+        rows = self.spark.read.schema(self._versioned(table)).parquet(self.path(table))
+        ranges = self.ranges(table)
+        bound = ranges.until()
         if bound is None:
             return rows
         run, epoch = bound
         later = rows.filter((F.col("run") > run) | ((F.col("run") == run) & (F.col("epoch") >= epoch)))
-        return self.spark.read.schema(schema).parquet(self._compact_path(table, run, epoch)).unionByName(later)
+        return ranges.rows().unionByName(later)
 
-    def _compact_path(self, table: str, run: int, epoch: int) -> str:
-        return f"{self.path(table)}/_compacted/{run}-{epoch}"
+    def _versioned(self, table: str) -> T.StructType:
+        return T.StructType(_ALL[table].fields + _VERSION)
 
-    def _compacted_before(self, table: str) -> tuple[int, int] | None:
-        """The batch before which all is compacted; folders without ``_SUCCESS`` do not count."""
-        names = child_folders(self.spark, f"{self.path(table)}/_compacted")
-        bounds = [tuple(int(n) for n in name.split("-")) for name in names]
-        done = [b for b in bounds if path_exists(self.spark, f"{self._compact_path(table, *b)}/_SUCCESS")]
-        return max(done, default=None)
+    def ranges(self, table: str) -> Ranges:
+        """The compacted part of a table."""
+        return Ranges(self, table, self._versioned(table), _DELETED_BY.get(table, []))
 
-    def compact(self, table: str) -> bool:
-        """Rewrite all batches before the newest one, in order of the id; of posts only
-        the newest version stays.  Returns whether there was anything to do.
+    def compact(self, table: str, rows_per_range: int = ROWS_PER_RANGE) -> bool:
+        """Take all batches before the newest one into the compacted part, in order of the id; of
+        posts only the newest version stays.  Returns whether there was anything to do.
 
-        The newest batch may yet be done again and stays as it is.  The new folder counts
-        once it is complete, so a broken compaction changes nothing.  The partitions
-        it replaces are read no more, and kept for views registered before.
+        The newest batch may yet be done again and stays as it is.  Only the ranges of ids
+        are written anew that these batches or deletions touch.  Replaced files and batches
+        go with the next compaction; views read the compacted part by themselves.
         """
         newest = self._written(table).agg(F.max(F.struct("run", "epoch"))).first()[0]
-        if newest is None or tuple(newest) == self._compacted_before(table):
+        if newest is None or tuple(newest) == self.ranges(table).until():
             return False
-        earlier = self.before(table, newest.run, newest.epoch)
-        if table == "posts":
-            earlier = latest_per_key(earlier, ["external_id"], ["run", "epoch"])
-        key = _ALL[table].names[0]
-        earlier.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").parquet(
-            self._compact_path(table, newest.run, newest.epoch)
-        )
+        self.ranges(table).compact(tuple(newest), rows_per_range)
         return True
 
     def before(self, table: str, run: int, epoch: int) -> DataFrame:
@@ -153,9 +147,12 @@ class Store:
     def batch_path(self, table: str, run: int, epoch: int) -> str:
         return f"{self.path(table)}/run={run}/epoch={epoch}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table as it stands: for posts the newest version of each id."""
+    def read(self, table: str, since: tuple[int, int] | None = None) -> DataFrame:
+        """The table as it stands: for posts the newest version of each id.
+        With ``since`` only what that batch and later ones wrote."""
         rows = self.versions(table)
+        if since is not None:
+            rows = rows.filter(F.struct("run", "epoch") >= F.struct(F.lit(since[0]), F.lit(since[1]).cast("long")))
         if table == "posts":
             rows = latest_per_key(rows, ["external_id"], ["run", "epoch"])
         return rows.select(*_ALL[table].names)

@@ -327,3 +327,41 @@ def ingest_indexed(spark, sf_dir):
     for epoch, feed in enumerate([inputs.posts(spark, sf_dir), inputs.turns(spark, sf_dir)]):
         store.insert_seen(feed, store.newest_run() + 1, epoch)
     return store.read("scanned_posts")
+
+
+_STATES = "(VALUES ('read'), ('catalog')) phases(phase)"
+
+
+@query("compact_ranges", f"""{with_sql('posts', 'turns')},
+    first AS (SELECT external_id, min_by(text, pos) AS content FROM turns GROUP BY external_id),
+    before AS (SELECT external_id, text AS content, lang FROM posts WHERE external_id NOT IN (SELECT external_id FROM first)
+               UNION ALL SELECT external_id, content, NULL FROM first),
+    kept AS (SELECT * FROM before WHERE external_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 1)),
+    again AS (SELECT external_id, upper(text) AS content, lang FROM posts WHERE lang = 'fr')
+    SELECT phase, external_id, content, language FROM (
+        SELECT external_id, content, lang AS language FROM kept WHERE external_id NOT IN (SELECT external_id FROM again)
+        UNION ALL SELECT external_id, content, lang FROM again), {_STATES}""")
+def compact_ranges(spark, sf_dir):
+    """Documents, then conversations over them, then deletions, then some documents anew, with
+    compactions by range between; read by the store and through the catalog."""
+    store = Store(spark, _new_folder(spark, "store"))
+    store.bootstrap()
+
+    def write(rows, epoch):
+        for field in schemas.POSTS:
+            if field.name not in rows.columns:
+                rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+        store.upsert_posts(rows, 0, epoch)
+        store.compact("posts", rows_per_range=500)
+
+    documents = inputs.posts(spark, sf_dir).withColumnRenamed("lang", "language")
+    write(documents.withColumnRenamed("text", "content"), 0)
+    write(inputs.turns(spark, sf_dir).groupBy("external_id").agg(F.min_by("text", "pos").alias("content")), 1)
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1")
+    store.delete(0, 2, toxic.select(F.col("doc_id").cast("string").alias("external_id")))
+    write(reports.filter_eq(documents, "language", "fr").select("external_id", "language", F.upper("text").alias("content")), 3)
+    database = f"ranges_{uuid.uuid4().hex}"
+    store.register(database)
+    columns = ["external_id", "content", "language"]
+    states = {"read": store.read("posts"), "catalog": spark.table(f"{database}.posts")}
+    return inputs.union(*[rows.select(F.lit(phase).alias("phase"), *columns) for phase, rows in states.items()])

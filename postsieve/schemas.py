@@ -39,6 +39,7 @@ RUN_TABLES: dict[str, T.StructType] = {
     "page_rejects": _struct(keyword_id=_LONG, page=_LONG, reason=_TEXT, body=_TEXT),
     "page_cursors": _struct(keyword_id=_LONG, last_page=_LONG, n_rows=_LONG),
     "keyword_deltas": _struct(keyword_id=_LONG, received=_LONG, matched=_LONG),
+    "constraint_deltas": _struct(table_name=_TEXT, rule=_TEXT, columns=_TEXT, violations=_LONG),
     # Either an id of a post or one of a keyword; forget: the id may be collected anew.
     "deletions": _struct(external_id=_TEXT, keyword_id=_LONG, forget=T.BooleanType()),
 }

@@ -83,7 +83,15 @@ class Ranges:
 
     def rows(self) -> DataFrame:
         """What the newest manifest names."""
-        return self._read(self._entries(self.until())[0]).drop("range")
+        return self.near(None)
+
+    def near(self, keys: DataFrame | None) -> DataFrame:
+        """What the newest manifest names, of the ranges only that ``keys`` fall into."""
+        entries, lows = self._entries(self.until())
+        if keys is not None and entries:
+            at = place(F.col(self.key.name), lows[1:], self.key.dataType.simpleString())
+            entries = [entries[r.at] for r in keys.select(at.alias("at")).distinct().collect()]
+        return self._read(entries).drop("range")
 
     def compact(self, newest: tuple[int, int], rows_per_range: int) -> None:
         """Take in all batches before ``newest``."""
@@ -98,7 +106,7 @@ class Ranges:
             touched = set(range(len(entries)))  # too many small ranges: all are written anew
         name = f"{newest[0]}-{newest[1]}"
         old = [entries[i] for i in sorted(touched)]
-        rows = self._keep(self._read(old).drop("range").unionByName(pending))
+        rows = self._keep(self._read(old).drop("range").unionByName(pending), newest)
         # Neighbours that are all written anew may exchange rows, so each run of them is cut as a whole.
         runs = [i for i in sorted(touched) if i - 1 not in touched]
         starts = [lows[i] for i in runs[1:]]
@@ -125,10 +133,11 @@ class Ranges:
         rows = self.spark.read.schema(self.schema).parquet(self.store.path(self.table))
         rows = rows.where(_version() < _batch(*newest))
         rows = rows if until is None else rows.where(_version() >= _batch(*until))
-        return self.store.alive(self.table, rows)
+        return self.store.alive(self.table, rows, newest)
 
-    def _keep(self, rows: DataFrame) -> DataFrame:
-        rows = self.store.alive(self.table, rows)
+    def _keep(self, rows: DataFrame, newest: tuple[int, int]) -> DataFrame:
+        # Like batches, the newest deletions may yet be done again.
+        rows = self.store.alive(self.table, rows, newest)
         return latest_per_key(rows, [self.key.name], ["run", "epoch"]) if self.table == "posts" else rows
 
     def _touched(self, entries: list[Range], lows: list, pending: DataFrame, until) -> set[int]:

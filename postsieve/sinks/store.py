@@ -31,7 +31,7 @@ _EMPTY = "run=-1/epoch=-1"
 _ALL = TABLES | RUN_TABLES
 
 # Which columns of a table say that a deletion concerns a row: its own, that of the deletion.
-_DELETED_BY = {
+DELETED_BY = {
     "posts": [("external_id", "external_id")],
     "post_keywords": [("external_id", "external_id"), ("keyword_id", "keyword_id")],
     "scanned_posts": [("external_id", "external_id")],
@@ -74,7 +74,7 @@ class Store:
         for table, schema in TABLES.items():
             columns = ", ".join(schema.names)
             rows = self.ranges(table).sql()
-            for column, deleted in _DELETED_BY.get(table, []):
+            for column, deleted in DELETED_BY.get(table, []):
                 forget = " AND d.forget" if table == "scanned_posts" else ""
                 rows = f"""(SELECT * FROM {rows} t WHERE NOT EXISTS (
                     SELECT 1 FROM parquet.`{self.path('deletions')}` d WHERE d.{deleted} = t.{column}{forget}
@@ -88,14 +88,17 @@ class Store:
         """All rows with the run and epoch that wrote them, without deleted ones."""
         return self.alive(table, self._written(table))
 
-    def alive(self, table: str, rows: DataFrame) -> DataFrame:
-        """Rows (with run and epoch) that no later deletion concerns.  The deletions are cut to one per id before they meet the rows."""
-        if table not in _DELETED_BY or child_folders(self.spark, self.path("deletions")) in ([], [_EMPTY.split("/")[0]]):
+    def alive(self, table: str, rows: DataFrame, before: tuple[int, int] | None = None) -> DataFrame:
+        """Rows (with run and epoch) that no later deletion concerns, or none ``before`` a batch.
+        The deletions are cut to one per id before they meet the rows."""
+        if table not in DELETED_BY or child_folders(self.spark, self.path("deletions")) in ([], [_EMPTY.split("/")[0]]):
             return rows
         deletions = self._written("deletions")
+        if before is not None:
+            deletions = deletions.where(F.struct("run", "epoch") < F.struct(F.lit(before[0]), F.lit(before[1]).cast("long")))
         if table == "scanned_posts":
             deletions = deletions.where("forget")
-        for column, deleted in _DELETED_BY[table]:
+        for column, deleted in DELETED_BY[table]:
             gone = deletions.where(F.col(deleted).isNotNull()).groupBy(F.col(deleted).alias(column))
             gone = gone.agg(F.max(F.struct("run", "epoch")).alias("_gone"))
             if fits_broadcast(gone):
@@ -104,7 +107,7 @@ class Store:
             rows = rows.join(gone, column, "left").where(alive).drop("_gone")
         return rows.select(*_ALL[table].names, "run", "epoch")
 
-    def _written(self, table: str) -> DataFrame:
+    def _written(self, table: str, keys: DataFrame | None = None) -> DataFrame:
         rows = self.spark.read.schema(self._versioned(table)).parquet(self.path(table))
         ranges = self.ranges(table)
         bound = ranges.until()
@@ -112,14 +115,14 @@ class Store:
             return rows
         run, epoch = bound
         later = rows.filter((F.col("run") > run) | ((F.col("run") == run) & (F.col("epoch") >= epoch)))
-        return ranges.rows().unionByName(later)
+        return ranges.near(keys).unionByName(later)
 
     def _versioned(self, table: str) -> T.StructType:
         return T.StructType(_ALL[table].fields + _VERSION)
 
     def ranges(self, table: str) -> Ranges:
         """The compacted part of a table."""
-        return Ranges(self, table, self._versioned(table), _DELETED_BY.get(table, []))
+        return Ranges(self, table, self._versioned(table), DELETED_BY.get(table, []))
 
     def compact(self, table: str, rows_per_range: int = ROWS_PER_RANGE) -> bool:
         """Take all batches before the newest one into the compacted part, in order of the id; of
@@ -140,6 +143,15 @@ class Store:
         earlier = (F.col("run") < run) | ((F.col("run") == run) & (F.col("epoch") < epoch))
         return self.versions(table).filter(earlier)
 
+    def as_of(self, table: str, run: int, epoch: int, keys: DataFrame | None = None) -> DataFrame:
+        """The table as it stood before a batch, which must be the newest or the one to come.
+        With ``keys`` (values of its id) at least the rows with one of them: only their ranges are read."""
+        earlier = F.struct("run", "epoch") < F.struct(F.lit(run), F.lit(epoch).cast("long"))
+        rows = self.alive(table, self._written(table, keys).filter(earlier), (run, epoch))
+        if table == "posts":
+            rows = latest_per_key(rows, ["external_id"], ["run", "epoch"])
+        return rows.select(*_ALL[table].names)
+
     def batch(self, table: str, run: int, epoch: int) -> DataFrame:
         """What one batch wrote, from its own partition."""
         return self.spark.read.schema(_ALL[table]).parquet(self.batch_path(table, run, epoch))

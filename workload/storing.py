@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from postsieve import schemas
 from postsieve.operators import integrity, reports, upsert
+from postsieve.plans.check import check_batch
 from postsieve.sinks.csv_posts import append_unseen_csv
 from postsieve.sinks.store import BATCH_TABLES, Store
 from postsieve.session import work_folder
@@ -185,8 +186,7 @@ _FIVE = f"""{with_sql('posts', 'turns', 'seen')},
     scanned_posts AS (SELECT external_id FROM seen UNION ALL SELECT external_id FROM turns)"""
 
 
-def _constraint_sql():
-    source = {t: "post_rows" if t == "posts" else t for t in schemas.TABLES}
+def _constraint_parts(source):
     parts = []
     for name, keys in schemas.UNIQUE_KEYS.items():
         for key in keys:
@@ -204,10 +204,10 @@ def _constraint_sql():
             f"SELECT '{child}', 'references {parent}', '{column}', count(*) FROM {source[child]} "
             f"WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {parent_column} FROM {source[parent]})"
         )
-    return f"{_FIVE} " + " UNION ALL ".join(parts)
+    return " UNION ALL ".join(parts)
 
 
-@query("constraint_report", _constraint_sql())
+@query("constraint_report", f"{_FIVE} " + _constraint_parts({t: "post_rows" if t == "posts" else t for t in schemas.TABLES}))
 def constraint_report(spark, sf_dir):
     return integrity.constraint_report(_five_tables(spark, sf_dir))
 
@@ -365,3 +365,58 @@ def compact_ranges(spark, sf_dir):
     columns = ["external_id", "content", "language"]
     states = {"read": store.read("posts"), "catalog": spark.table(f"{database}.posts")}
     return inputs.union(*[rows.select(F.lit(phase).alias("phase"), *columns) for phase, rows in states.items()])
+
+
+# The five tables in three batches: documents and line items by their columns, the last batch deletes, too.
+_BY_BATCH = f"""{_FIVE},
+    docs AS (SELECT CAST(doc_id AS VARCHAR) AS external_id, text AS content, CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS epoch FROM documents),
+    lines AS (SELECT CAST(l_orderkey AS VARCHAR) AS external_id, l_partkey AS keyword_id,
+              CASE WHEN l_linenumber <= 2 THEN 0 WHEN l_linenumber <= 4 THEN 1 ELSE 2 END AS epoch FROM lineitem),
+    scans AS (SELECT external_id, 0 AS epoch FROM seen UNION ALL SELECT external_id, 1 FROM turns),
+    toxic AS (SELECT CAST(doc_id AS VARCHAR) AS external_id FROM labels WHERE toxic = 1),
+    small AS (SELECT p_partkey AS keyword_id FROM part WHERE p_type = 'SMALL')""" + "".join(f""",
+    c{e} AS (SELECT * FROM categories), s{e} AS (SELECT external_id FROM scans WHERE epoch <= {e}),
+    k{e} AS (SELECT * FROM keywords {"WHERE id NOT IN (FROM small)" if e == 2 else ""}),
+    p{e} AS (SELECT external_id, content FROM docs WHERE epoch <= {e} {"AND external_id NOT IN (FROM toxic)" if e == 2 else ""}),
+    l{e} AS (SELECT external_id, keyword_id FROM lines WHERE epoch <= {e}
+             {"AND external_id NOT IN (FROM toxic) AND keyword_id NOT IN (FROM small)" if e == 2 else ""})""" for e in range(3))
+
+
+@query("constraint_delta", f"{_BY_BATCH} " + " UNION ALL ".join(
+    f"SELECT {e} AS epoch, * FROM (" + _constraint_parts(dict(zip(schemas.TABLES, [f"c{e}", f"k{e}", f"p{e}", f"l{e}", f"s{e}"]))) + ")"
+    for e in range(3)))
+def constraint_delta(spark, sf_dir):
+    """The violations after each of three batches, each from its own changes alone."""
+    store = Store(spark, _new_folder(spark, "store"))
+    store.bootstrap()
+    tables = _five_tables(spark, sf_dir)
+    lang = inputs.posts(spark, sf_dir).select("external_id", F.col("text").alias("content"), F.col("lang").alias("language"))
+    english = F.coalesce(F.col("language") == "en", F.lit(False))
+    links = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("external_id"), F.col("l_partkey").alias("keyword_id"), "l_linenumber"
+    )
+    nr = F.col("l_linenumber")
+    batches = [
+        {"categories": tables["categories"], "keywords": tables["keywords"], "posts": lang.filter(english),
+         "post_keywords": links.filter(nr <= 2), "scanned_posts": inputs.seen(spark, sf_dir)},
+        {"posts": lang.filter(~english), "post_keywords": links.filter((nr > 2) & (nr <= 4)),
+         "scanned_posts": inputs.turns(spark, sf_dir).select("external_id")},
+        {"post_keywords": links.filter(~(nr <= 4) | nr.isNull())},
+    ]
+    for epoch, batch in enumerate(batches):
+        for name, rows in batch.items():
+            for field in schemas.TABLES[name]:
+                if field.name not in rows.columns:
+                    rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+            store.append(name, rows, 0, epoch)
+        if epoch == 2:
+            toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("external_id"))
+            small = reports.filter_eq(table(spark, sf_dir, "part"), "p_type", "SMALL").select(F.col("p_partkey").alias("id"))
+            store.delete(0, epoch, toxic, small)
+        check_batch(store, 0, epoch)
+        for name in ["posts", "post_keywords", "scanned_posts"]:
+            store.compact(name, rows_per_range=20_000)
+    upto = spark.createDataFrame([(e,) for e in range(3)], "state int")
+    deltas = store.versions("constraint_deltas").join(F.broadcast(upto), F.col("epoch") <= F.col("state"))
+    sums = deltas.groupBy(F.col("state").alias("epoch"), "table_name", "rule", "columns")
+    return sums.agg(F.sum("violations").alias("violations"))

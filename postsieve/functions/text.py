@@ -11,6 +11,19 @@ WHITESPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# The same characters one by one, for trimming.
+_SPACES = "".join(
+    chr(c)
+    for first, last in [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+                        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+    for c in range(first, last + 1)
+)
+
+# What becomes one blank in keywords: runs of white space, ``_`` and ``-``, but for a blank alone.
+# The first class makes the search skip letters at once.
+_GAP = f"{WHITESPACE[1:-1]}_\\-"
+_NOT_ONE_BLANK = rf"[\x00-\x1f_\-\x{{80}}-\x{{ffff}}&&[{_GAP}]][{_GAP}]*| [{_GAP}]+"
+
 # A word character is a letter, a number or an underscore
 # (combining marks are not).
 WORD = r"[\p{L}\p{N}_]"
@@ -69,14 +82,13 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Remove leading and trailing Unicode white space; only the edges are looked at."""
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def normalize_keyword(keyword: Column) -> Column:
     """Lower case; ``_`` and ``-`` become blanks; one blank between words."""
-    spaced = F.translate(F.lower(keyword), "_-", "  ")
-    return F.trim(F.regexp_replace(spaced, f"{WHITESPACE}+", " "))
+    return F.trim(F.regexp_replace(F.lower(keyword), _NOT_ONE_BLANK, " "))
 
 
 def normalize_language(language: Column) -> Column:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,18 @@ def test_normalize_odd_texts(spark):
         assert after.split(" ") == [w for w in after.split(" ") if w] or after == ""
         letters = [c for c in before.lower() if not c.isspace() and c not in "_-"]
         assert [c for c in after if c != " "] == letters
+
+
+def test_strip_looks_at_the_edges_only(spark):
+    """A long run of blanks inside a text took quadratic time: minutes for this one."""
+    inner = "x" + " " * 300_000 + "y"
+    rows = spark.createDataFrame([("　\t" + inner + "  \x85",), (" \xa0",), ("",), (None,)], "s string")
+    began = time.monotonic()
+    assert [r[0] for r in rows.select(T.strip(F.col("s"))).collect()] == [inner, "", "", None]
+    assert time.monotonic() - began < 20
+
+
+def test_keywords_keep_single_blanks_and_lose_runs(spark):
+    cases = {"A_b-c": "a b c", " a  b\t　c ": "a b c", "a -_ b": "a b", "_-": "", "a\x01": "a\x01", "É\x85\xa0x": "é x"}
+    rows = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert [r[0] for r in rows.select(T.normalize_keyword(F.col("s"))).collect()] == [*cases.values()]

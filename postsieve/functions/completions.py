@@ -57,16 +57,16 @@ def clean_items(parsed: Column) -> Column:
     """
     # One text per pair: distinct on text hashes, distinct on structs compares
     # every element with every other.
-    pairs = F.transform(
-        F.coalesce(parsed.try_cast("array<variant>"), F.array().cast("array<variant>")),
-        lambda item: F.concat(
-            normalize_language(F.try_variant_get(item, "$.language", "string")),
-            F.lit(_PAIR),
-            normalize_keyword(F.try_variant_get(item, "$.keyword", "string")),
-        ),
-    )
-    allowed = "^(" + "|".join(LANGUAGES_ALLOWED) + f"){_PAIR}(?s:.)"
-    kept = F.array_distinct(F.filter(pairs, lambda p: p.rlike(allowed)))
+    empty = [language + _PAIR for language in LANGUAGES_ALLOWED]
+    items = F.coalesce(parsed.try_cast("array<variant>"), F.array().cast("array<variant>"))
+
+    def pair(item: Column) -> Column:
+        language = normalize_language(F.try_variant_get(item, "$.language", "string"))
+        # Keywords in other languages are not worked out at all.
+        keyword = normalize_keyword(F.try_variant_get(item, "$.keyword", "string"))
+        return F.when(language.isin(LANGUAGES_ALLOWED), F.concat(language, F.lit(_PAIR), keyword))
+
+    kept = F.array_distinct(F.filter(F.transform(items, pair), lambda p: ~p.isin(empty)))
     return F.transform(
         kept,
         lambda p: F.struct(

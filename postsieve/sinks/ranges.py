@@ -1,6 +1,7 @@
 """The compacted part of a table: files with known ranges of the key.
 
-Each range is a folder with rows of one stretch of keys, about ``rows_per_range`` of them.
+Each range is a folder with rows of one stretch of keys, about ``rows_per_range`` of them,
+or fewer if these hold more than about ``BYTES_PER_RANGE``: one task writes a range.
 A manifest lists the ranges that hold together all that batches before some
 (run, epoch) wrote.  Compaction writes anew only the ranges that later batches or
 deletions touch, and then a manifest of new and untouched ranges.  The manifest comes last, so
@@ -9,6 +10,7 @@ more compaction, for readers under way, and is then removed.
 """
 
 import json
+from functools import reduce
 from math import ceil
 from typing import NamedTuple
 
@@ -21,6 +23,7 @@ from postsieve.operators.upsert import latest_per_key
 from postsieve.session import child_folders, path_exists, remove_files, remove_folder
 
 ROWS_PER_RANGE = 2_000_000
+BYTES_PER_RANGE = 128_000_000
 
 # The folder that declares the compacted part; it never holds rows.
 _EMPTY = "none/part=-1"
@@ -30,6 +33,7 @@ class Range(NamedTuple):
     generation: str  # the folder it lies in, named by the batch it was compacted before
     range: int
     n_rows: int
+    n_bytes: int
 
 
 def place(key: Column, lows: list, kind: str) -> Column:
@@ -58,6 +62,7 @@ class Ranges:
                 T.StructField("range", T.LongType()),
                 T.StructField("low", self.key.dataType),
                 T.StructField("n_rows", T.LongType()),
+                T.StructField("n_bytes", T.LongType()),
             ]
         )
 
@@ -93,16 +98,21 @@ class Ranges:
             entries = [entries[r.at] for r in keys.select(at.alias("at")).distinct().collect()]
         return self._read(entries).drop("range")
 
-    def compact(self, newest: tuple[int, int], rows_per_range: int) -> None:
+    def compact(self, newest: tuple[int, int], rows_per_range: int, bytes_per_range: int = BYTES_PER_RANGE) -> None:
         """Take in all batches before ``newest``."""
         until = self.until()
         entries, lows = self._entries(until)
         self._sweep()
         pending = self._pending(until, newest)
-        n_pending = pending.count()
+        n_pending, pending_bytes = pending.agg(F.count("*"), self._bytes()).first()
         touched = self._touched(entries, lows, pending, until)
-        total = n_pending + sum(e.n_rows for e in entries)
-        if len(entries) > 2 * ceil(total / rows_per_range) + 2:
+
+        def needed(ranges: list[Range]) -> int:
+            rows = n_pending + sum(e.n_rows for e in ranges)
+            size = pending_bytes + sum(e.n_bytes for e in ranges)
+            return max(1, ceil(rows / rows_per_range), ceil(size / bytes_per_range))
+
+        if len(entries) > 2 * needed(entries) + 2:
             touched = set(range(len(entries)))  # too many small ranges: all are written anew
         name = f"{newest[0]}-{newest[1]}"
         old = [entries[i] for i in sorted(touched)]
@@ -110,8 +120,7 @@ class Ranges:
         # Neighbours that are all written anew may exchange rows, so each run of them is cut as a whole.
         runs = [i for i in sorted(touched) if i - 1 not in touched]
         starts = [lows[i] for i in runs[1:]]
-        n_rows = n_pending + sum(e.n_rows for e in old)
-        parts = max(1, ceil(n_rows / rows_per_range))
+        parts = needed(old)
         first = 1 + max((e.range for e in self._named()), default=-1)
         number = F.lit(first).cast("long") + F.col("_run") * parts + F.spark_partition_id()
         key = self.key.name
@@ -121,8 +130,9 @@ class Ranges:
             "part", key
         ).write.mode("overwrite").partitionBy("part").parquet(f"{self.data}/{name}")
         written = self.spark.read.schema(self._with_range()).parquet(f"{self.data}/{name}").groupBy("range")
-        manifest = written.agg(F.min(key).alias("low"), F.count("*").alias("n_rows")).withColumn("generation", F.lit(name))
-        stay = [(e.generation, e.range, low, e.n_rows) for i, (e, low) in enumerate(zip(entries, lows)) if i not in touched]
+        manifest = written.agg(F.min(key).alias("low"), F.count("*").alias("n_rows"), self._bytes().alias("n_bytes"))
+        manifest = manifest.withColumn("generation", F.lit(name))
+        stay = [(e.generation, e.range, low, e.n_rows, e.n_bytes) for i, (e, low) in enumerate(zip(entries, lows)) if i not in touched]
         names = self.manifest_schema.names
         self._write_manifest(
             manifest.select(*names).unionByName(self.spark.createDataFrame(stay, self.manifest_schema)), newest
@@ -159,6 +169,11 @@ class Ranges:
             touched |= {places[r.range] for r in hit.collect()}
         return touched
 
+    def _bytes(self) -> Column:
+        """The size of rows: their texts, and eight bytes for any other column."""
+        sizes = [F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8) for f in self.schema]
+        return F.coalesce(F.sum(reduce(lambda a, b: a + b, sizes).cast("long")), F.lit(0).cast("long"))
+
     def _with_range(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField("range", T.LongType())])
 
@@ -188,7 +203,8 @@ class Ranges:
         if bound is None:
             return [], []
         rows = self.spark.read.schema(self.manifest_schema).parquet(self._manifest(bound)).orderBy("low").collect()
-        return [Range(r.generation, r.range, r.n_rows) for r in rows], [r.low for r in rows]
+        # Manifests of older versions lack the bytes.
+        return [Range(r.generation, r.range, r.n_rows, r.n_bytes or 0) for r in rows], [r.low for r in rows]
 
     def _named(self) -> list[Range]:
         return [e for bound in self._bounds() for e in self._entries(bound)[0]]

@@ -20,7 +20,7 @@ from postsieve.operators.sizing import fits_broadcast
 from postsieve.operators.upsert import latest_per_key
 from postsieve.schemas import RUN_TABLES, TABLES
 from postsieve.session import child_folders
-from postsieve.sinks.ranges import ROWS_PER_RANGE, Ranges
+from postsieve.sinks.ranges import BYTES_PER_RANGE, ROWS_PER_RANGE, Ranges
 from postsieve.sinks.seen_index import SeenIndex
 
 _VERSION = [T.StructField("run", T.IntegerType()), T.StructField("epoch", T.LongType())]
@@ -124,7 +124,7 @@ class Store:
         """The compacted part of a table."""
         return Ranges(self, table, self._versioned(table), DELETED_BY.get(table, []))
 
-    def compact(self, table: str, rows_per_range: int = ROWS_PER_RANGE) -> bool:
+    def compact(self, table: str, rows_per_range: int = ROWS_PER_RANGE, bytes_per_range: int = BYTES_PER_RANGE) -> bool:
         """Take all batches before the newest one into the compacted part, in order of the id; of
         posts only the newest version stays.  Returns whether there was anything to do.
 
@@ -135,7 +135,7 @@ class Store:
         newest = self._written(table).agg(F.max(F.struct("run", "epoch"))).first()[0]
         if newest is None or tuple(newest) == self.ranges(table).until():
             return False
-        self.ranges(table).compact(tuple(newest), rows_per_range)
+        self.ranges(table).compact(tuple(newest), rows_per_range, bytes_per_range)
         return True
 
     def before(self, table: str, run: int, epoch: int) -> DataFrame:

@@ -123,3 +123,22 @@ def test_the_index_outlives_removed_batches(spark, store):
     again = spark.createDataFrame([(f"s{i}",) for i in range(5)], "external_id string")
     assert store.insert_seen(again, 0, 4) == 1
     assert sorted(r[0] for r in store.read("scanned_posts").collect()) == [f"s{i}" for i in range(5)]
+
+
+def test_long_texts_make_more_ranges(spark, store):
+    """One task writes a range, so its bytes are bounded as well as its rows."""
+    long = posts(spark, range(400), 1).withColumn("content", F.repeat(F.lit("x"), 10_000)).repartition(3)
+    store.upsert_posts(long, 0, 0)
+    store.upsert_posts(posts(spark, [], 1), 0, 1)
+    store.upsert_posts(posts(spark, [7], 2), 0, 2)
+    assert store.compact("posts", bytes_per_range=500_000)
+    ranges = store.ranges("posts")
+    entries = ranges._entries(ranges.until())[0]
+    assert len(entries) >= 6 and max(e.n_bytes for e in entries) < 1_500_000
+    assert sum(e.n_rows for e in entries) == 400 and sum(e.n_bytes for e in entries) >= 4_000_000
+    store.upsert_posts(posts(spark, [8], 3), 0, 3)
+    assert store.compact("posts", bytes_per_range=500_000)
+    # The new batch touches one range; the others are not taken for too many.
+    after = ranges._entries(ranges.until())[0]
+    assert len(set(entries) & set(after)) == len(entries) - 1
+    assert sorted(r.like_count for r in store.read("posts").where("like_count > 1").collect()) == [2, 3]

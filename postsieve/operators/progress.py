@@ -14,7 +14,8 @@ def read_pages(pages: DataFrame) -> DataFrame:
     """Pages with their posts, and ``broken`` where the body is no JSON array of posts with id
     and text, or keyword or page is missing.  A page without posts is whole."""
     posts = F.from_json("body", f"array<{PAGE_POST.simpleString()}>")
-    whole = F.schema_of_variant(F.try_parse_json("body")).startswith("ARRAY") & F.col("posts").isNotNull()
+    # An array of variants takes no further look at what they hold.
+    whole = F.try_variant_get(F.try_parse_json("body"), "$", "array<variant>").isNotNull() & F.col("posts").isNotNull()
     faulty = F.exists("posts", lambda p: p.isNull() | p["external_id"].isNull() | p["text"].isNull())
     known = F.col("keyword_id").isNotNull() & F.col("page").isNotNull()
     ok = F.coalesce(whole & ~faulty & known, F.lit(False))
@@ -66,15 +67,23 @@ def after_cursor(pages: DataFrame, cursor: DataFrame, rows: int) -> DataFrame:
 def cap_after_cursor(candidates: DataFrame, cursor: DataFrame, rows: int) -> DataFrame:
     """The next candidates of each keyword, until it has ``rows`` of them over all batches.
 
-    The batch is cut to ``rows`` of a keyword first, task by task; what is ranked with the cursor
-    is bounded by that.
+    Keywords whose candidates all fit, by their number, are not ranked. Those of the others are cut
+    to ``rows`` of a keyword first, task by task; what is ranked with the cursor is bounded by that.
     """
     if fits_broadcast(cursor):
         cursor = F.broadcast(cursor)
-    order = Window.partitionBy("keyword_id").orderBy("page", "pos", "external_id")
-    capped = cap_per_keyword(candidates, rows).withColumn("_rn", F.row_number().over(order))
     taken = F.coalesce(F.col("n_rows"), F.lit(0).cast("long"))
-    return capped.join(cursor, "keyword_id", "left").where(F.col("_rn") + taken <= rows).select(*candidates.columns)
+    counts = candidates.groupBy("keyword_id").agg(F.count("*").alias("_n"))
+    over = counts.join(cursor, "keyword_id", "left").where(F.col("_n") + taken > rows).select("keyword_id")
+    if over.isEmpty():
+        return candidates
+    crowded = over.select(F.col("keyword_id").alias("_over"))
+    crowded = F.broadcast(crowded) if fits_broadcast(over) else crowded
+    same = F.col("keyword_id").eqNullSafe(F.col("_over"))
+    order = Window.partitionBy("keyword_id").orderBy("page", "pos", "external_id")
+    ranked = cap_per_keyword(candidates.join(crowded, same, "left_semi"), rows).withColumn("_rn", F.row_number().over(order))
+    capped = ranked.join(cursor, "keyword_id", "left").where(F.col("_rn") + taken <= rows).select(*candidates.columns)
+    return candidates.join(crowded, same, "left_anti").unionByName(capped)
 
 
 def cursor_rows(pages: DataFrame, capped: DataFrame) -> DataFrame:

@@ -140,3 +140,29 @@ def test_counts_kept_up_equal_a_recount(spark, store, keywords, folder, monkeypa
     monkeypatch.setattr(Store, "path", lambda self, table, path=Store.path: read.append(table) or path(self, table))
     progress.counts_by_batch(store.versions("keyword_deltas")).collect()
     assert set(read) == {"keyword_deltas"}
+
+
+def test_only_keywords_beyond_the_cap_are_ranked(spark):
+    """Keywords of any number of candidates that all fit move no rows; the others are cut as before."""
+    rows = [(k, p, q, f"{k}-{p}-{q}") for k, n in [(1, 5), (2, 9), (3, 3), (None, 2), (4, 4)] for p in range(n) for q in range(2)]
+    candidates = spark.createDataFrame(rows, "keyword_id long, page long, pos long, external_id string")
+    cursor = spark.createDataFrame([(3, 7, 4), (4, 7, 5)], "keyword_id long, last_page long, n_rows long")
+    whole = progress.cap_after_cursor(candidates, cursor, 1 << 40)
+    assert "Window" not in whole._jdf.queryExecution().toString()
+    assert sorted(map(str, whole.collect())) == sorted(map(str, candidates.collect()))
+    got = progress.cap_after_cursor(candidates, cursor, 10).collect()
+    taken = {3: 4, 4: 5}
+    expected = []
+    for k in (1, 2, 3, None, 4):
+        expected += [r for r in rows if r[0] == k][: 10 - taken.get(k, 0)]
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, expected))
+
+
+def test_a_page_is_an_array_whatever_it_holds(spark):
+    """The schema of a page is not worked out to see that it is an array."""
+    whole = ['[]', ' \n[{"external_id": "a", "text": "b", "more": {"x": [1, {"y": 2}]}}]']
+    broken = ['{"external_id": "a", "text": "b"}', '[1]', '[null]', '3', 'null', '"[]"', '[{"external_id": "a"}]', '[', '', None]
+    pages = spark.createDataFrame([(1, i, b) for i, b in enumerate(whole + broken)], "keyword_id long, page long, body string")
+    read = progress.read_pages(pages)
+    assert [r.broken for r in read.orderBy("page").collect()] == [False] * len(whole) + [True] * len(broken)
+    assert "schema_of_variant" not in read._jdf.queryExecution().toString()

@@ -32,9 +32,10 @@ def _land(pages, folder):
     ).text(folder)
 
 
-def _thirds(pages):
+def _thirds(spark, sf_dir, pages):
     """Pages in three batches by their number, so that each keyword's come in order."""
-    last = pages.agg(F.max("page")).first()[0] or 1
+    # The rows have the numbers of the pages, and need not be put together for the last one.
+    last = inputs.candidates(spark, sf_dir).agg(F.max("page")).first()[0] or 1
     third = F.floor(F.col("page") * 3 / F.lit(last + 1))
     return [pages.where(third == n) for n in range(3)]
 
@@ -75,7 +76,7 @@ def ingest_failures(spark, sf_dir):
     pages = _pages(spark, sf_dir).join(orders, "page", "left").join(nations, "keyword_id", "left")
     bad = (F.col("o_orderstatus") == "P") & (F.col("n_regionkey") == 0)
     cut = F.when(bad, F.substring("body", F.lit(1), F.length("body") - 3)).otherwise(F.col("body"))
-    for part in _thirds(pages.withColumn("body", cut)):
+    for part in _thirds(spark, sf_dir, pages.withColumn("body", cut)):
         _land(part, landing)
         ingest_pages(stream_pages(spark, landing), inputs.feed_words(spark), store, checkpoint, _ALL_ROWS)
     rejects = store.read("page_rejects").select(
@@ -91,7 +92,7 @@ def ingest_failures(spark, sf_dir):
 def ingest_paged(spark, sf_dir):
     """The feature is the cap: a thousand candidates per keyword over three batches, with a restart between."""
     store, landing, checkpoint = _new_store(spark), _new_folder(spark, "landing"), _new_folder(spark, "checkpoint")
-    for part in _thirds(_pages(spark, sf_dir)):
+    for part in _thirds(spark, sf_dir, _pages(spark, sf_dir)):
         _land(part, landing)
         ingest_pages(stream_pages(spark, landing), inputs.feed_words(spark), store, checkpoint)
     taken = progress.cursor_of(store.read("page_cursors")).where("n_rows > 0").select(
@@ -110,7 +111,7 @@ def ingest_paged(spark, sf_dir):
 def counts_by_batch(spark, sf_dir):
     """Counts of three batches, the last one replayed, from what each batch added."""
     store, keywords = _new_store(spark), inputs.feed_words(spark)
-    parts = [part.select("keyword_id", "page", "body") for part in _thirds(_pages(spark, sf_dir))]
+    parts = [part.select("keyword_id", "page", "body") for part in _thirds(spark, sf_dir, _pages(spark, sf_dir))]
     for epoch, part in [*enumerate(parts), (2, parts[2])]:
         write_pages(part, keywords, store, 0, epoch, _ALL_ROWS)
     return running_sum(progress.totals(store.read("keyword_deltas")), ["keyword_id"], "matched", "total")

@@ -1,7 +1,8 @@
 """The compacted part of a table: files with known ranges of the key.
 
 Each range is a folder with rows of one stretch of keys, about ``rows_per_range`` of them,
-or fewer if these hold more than about ``BYTES_PER_RANGE``: one task writes a range.
+more if the table would take over ``MAX_RANGES``, and fewer if these hold more than about
+``BYTES_PER_RANGE``: one task writes a range.
 A manifest lists the ranges that hold together all that batches before some
 (run, epoch) wrote.  Compaction writes anew only the ranges that later batches or
 deletions touch, and then a manifest of new and untouched ranges.  The manifest comes last, so
@@ -25,6 +26,9 @@ from postsieve.session import child_folders, path_exists, remove_files, remove_f
 ROWS_PER_RANGE = 2_000_000
 BYTES_PER_RANGE = 128_000_000
 
+# By its rows a table takes no more ranges than this: each is a folder to list at every reading.
+MAX_RANGES = 256
+
 # The folder that declares the compacted part; it never holds rows.
 _EMPTY = "none/part=-1"
 
@@ -107,6 +111,9 @@ class Ranges:
         n_pending, pending_bytes = pending.agg(F.count("*"), self._bytes()).first()
         touched = self._touched(entries, lows, pending, until)
 
+        # Of a large table the ranges grow, not their number.
+        rows_per_range = max(rows_per_range, ceil((n_pending + sum(e.n_rows for e in entries)) / MAX_RANGES))
+
         def needed(ranges: list[Range]) -> int:
             rows = n_pending + sum(e.n_rows for e in ranges)
             size = pending_bytes + sum(e.n_bytes for e in ranges)

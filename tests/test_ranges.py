@@ -142,3 +142,13 @@ def test_long_texts_make_more_ranges(spark, store):
     after = ranges._entries(ranges.until())[0]
     assert len(set(entries) & set(after)) == len(entries) - 1
     assert sorted(r.like_count for r in store.read("posts").where("like_count > 1").collect()) == [2, 3]
+
+
+def test_a_large_table_gets_larger_ranges_not_more(spark, store, monkeypatch):
+    monkeypatch.setattr("postsieve.sinks.ranges.MAX_RANGES", 8)
+    for epoch, ids in enumerate([range(800), range(400, 1200), [3]]):
+        store.upsert_posts(posts(spark, ids, epoch), 0, epoch)
+    assert store.compact("posts", 10)
+    ranges = store.ranges("posts")
+    assert 4 <= len(ranges._entries(ranges.until())[0]) <= 9
+    assert content(store.read("posts")) == sorted((f"p{i:04d}", 2 if i == 3 else int(i >= 400)) for i in range(1200))

@@ -9,6 +9,9 @@ from postsieve.schemas import CANDIDATES, PAGE_POST
 
 BROKEN, AFTER = "broken", "after a broken page"
 
+# Up to this cap Spark cuts what it ranks within each task (spark.sql.optimizer.windowGroupLimitThreshold).
+_CUT_EARLY = 1000
+
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """Pages with their posts, and ``broken`` where the body is no JSON array of posts with id
@@ -67,23 +70,29 @@ def after_cursor(pages: DataFrame, cursor: DataFrame, rows: int) -> DataFrame:
 def cap_after_cursor(candidates: DataFrame, cursor: DataFrame, rows: int) -> DataFrame:
     """The next candidates of each keyword, until it has ``rows`` of them over all batches.
 
-    Keywords whose candidates all fit, by their number, are not ranked. Those of the others are cut
-    to ``rows`` of a keyword first, task by task; what is ranked with the cursor is bounded by that.
+    Candidates are cut to ``rows`` of a keyword first, task by task; what is ranked with the cursor
+    is bounded by that. With a large cap that cuts little, so there candidates are counted before, and only
+    those of keywords that exceed the cap are ranked.
     """
     if fits_broadcast(cursor):
         cursor = F.broadcast(cursor)
     taken = F.coalesce(F.col("n_rows"), F.lit(0).cast("long"))
+    order = Window.partitionBy("keyword_id").orderBy("page", "pos", "external_id")
+
+    def cut(some: DataFrame) -> DataFrame:
+        capped = cap_per_keyword(some, rows).withColumn("_rn", F.row_number().over(order))
+        return capped.join(cursor, "keyword_id", "left").where(F.col("_rn") + taken <= rows).select(*candidates.columns)
+
+    if rows <= _CUT_EARLY:
+        return cut(candidates)
     counts = candidates.groupBy("keyword_id").agg(F.count("*").alias("_n"))
-    over = counts.join(cursor, "keyword_id", "left").where(F.col("_n") + taken > rows).select("keyword_id")
+    over = counts.join(cursor, "keyword_id", "left").where(F.col("_n") + taken > rows)
+    over = over.select(F.col("keyword_id").alias("_over"))
     if over.isEmpty():
         return candidates
-    crowded = over.select(F.col("keyword_id").alias("_over"))
-    crowded = F.broadcast(crowded) if fits_broadcast(over) else crowded
+    over = F.broadcast(over) if fits_broadcast(over) else over
     same = F.col("keyword_id").eqNullSafe(F.col("_over"))
-    order = Window.partitionBy("keyword_id").orderBy("page", "pos", "external_id")
-    ranked = cap_per_keyword(candidates.join(crowded, same, "left_semi"), rows).withColumn("_rn", F.row_number().over(order))
-    capped = ranked.join(cursor, "keyword_id", "left").where(F.col("_rn") + taken <= rows).select(*candidates.columns)
-    return candidates.join(crowded, same, "left_anti").unionByName(capped)
+    return candidates.join(over, same, "left_anti").unionByName(cut(candidates.join(over, same, "left_semi")))
 
 
 def cursor_rows(pages: DataFrame, capped: DataFrame) -> DataFrame:

@@ -142,11 +142,13 @@ def test_counts_kept_up_equal_a_recount(spark, store, keywords, folder, monkeypa
     assert set(read) == {"keyword_deltas"}
 
 
-def test_only_keywords_beyond_the_cap_are_ranked(spark):
+@pytest.mark.parametrize("cut_early", [0, 1000])
+def test_only_keywords_beyond_the_cap_are_ranked(spark, monkeypatch, cut_early):
     """Keywords of any number of candidates that all fit move no rows; the others are cut as before."""
     rows = [(k, p, q, f"{k}-{p}-{q}") for k, n in [(1, 5), (2, 9), (3, 3), (None, 2), (4, 4)] for p in range(n) for q in range(2)]
     candidates = spark.createDataFrame(rows, "keyword_id long, page long, pos long, external_id string")
     cursor = spark.createDataFrame([(3, 7, 4), (4, 7, 5)], "keyword_id long, last_page long, n_rows long")
+    monkeypatch.setattr(progress, "_CUT_EARLY", cut_early)
     whole = progress.cap_after_cursor(candidates, cursor, 1 << 40)
     assert "Window" not in whole._jdf.queryExecution().toString()
     assert sorted(map(str, whole.collect())) == sorted(map(str, candidates.collect()))

@@ -25,18 +25,19 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsieve.llm.common import keyed, stored, text_or_empty
-from postsieve.llm.words import Memory, batches, is_word, lower_words
+from postsieve.llm.words import Memory, batches, is_plain, is_word, lower_words, plain_words
 from postsieve.session import work_folder
 
 SHARD_IDS = 1 << 22  # 16 MB before compression
@@ -45,6 +46,8 @@ END_ID = 2
 REMEMBERED = 400_000  # words, twice; about 80 MB each
 # New words that are encoded as one text.
 _ROW = 500
+# Characters of texts whose different words are looked up together.
+_BATCH_CHARS = 4_000_000
 
 _HEAD, _TAIL = b"BPL1", b"1LPB"
 _DOCUMENT = np.dtype([("start", "<u8"), ("total", "<u8"), ("at", "<u8"), ("n", "<u8"), ("named", "u1"), ("doc_id", "<i8")])
@@ -157,17 +160,16 @@ class Encoder:
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._whole = Tokenizer.from_str(model)
-        settings = json.loads(model)
-        split = {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        settings |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": list(split)}}
-        self._merges = Tokenizer.from_str(json.dumps(settings))
+        self._merges = Tokenizer(self._whole.model)
+        split = pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._merges.pre_tokenizer = pre_tokenizers.Sequence(list(split))
         for tokenizer in (self._whole, self._merges):
             tokenizer.no_padding()
             tokenizer.no_truncation()
-        suffix = settings["model"].get("end_of_word_suffix")
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
         vocabulary = self._whole.get_vocab()
         self._ends = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
         for token, number in vocabulary.items():
@@ -193,14 +195,32 @@ class Encoder:
                 learned.update(zip(row, [ids.tobytes() for ids in self._ids(self._whole, row)], strict=True))
         return [learned[p] for p in pieces]
 
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        pieces = words.to_numpy(zero_copy_only=False).tolist()
+        if pa.types.is_large_binary(words.type):
+            pieces = [word.decode("latin-1") for word in pieces]
+        return pa.array(self._words.of(pieces), pa.large_binary())
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        for some in batches(texts):
-            words = list(map(lower_words, some))
-            found, at = self._words.of([w for of_text in words for w in of_text]), 0
-            for of_text in words:
-                yield b"".join(found[at : at + len(of_text)])
-                at += len(of_text)
+        for some in batches(texts, _BATCH_CHARS):
+            plain = [is_plain(text) for text in some]
+            others = [lower_words(text) for text, p in zip(some, plain, strict=True) if not p]
+            of_plain = _joined(plain_words([text for text, p in zip(some, plain, strict=True) if p]), self._of_words)
+            of_others = _joined(pa.array(others, pa.large_list(pa.large_string())), self._of_words)
+            for p in plain:
+                yield next(of_plain if p else of_others)
+
+
+def _joined(lists: pa.Array, results: Callable[[pa.Array], pa.Array]) -> Iterator[bytes]:
+    """The results of each list's words, put together; ``results`` gets every different word once."""
+    words = lists.flatten().dictionary_encode()
+    found = results(words.dictionary).take(words.indices)
+    ends = np.cumsum(pc.binary_length(found).to_numpy())
+    places = np.concatenate([[0], ends])[lists.offsets.to_numpy()].tolist()
+    raw = memoryview(found.buffers()[2] or b"")
+    for begin, end in zip(places, places[1:]):  # noqa: B905
+        yield bytes(raw[begin:end])
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -10,6 +10,9 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+
 REMEMBERED = 250_000
 LONGEST = 64
 
@@ -50,13 +53,18 @@ _LATIN_TEXT = re.compile(r"[\t\n\r -~¡-ÿ]*")
 _WORDS = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 
 
+def is_plain(text: str) -> bool:
+    """Whether ``text`` is of Latin-1 alone, without control characters and special tokens."""
+    return "<|" not in text and _LATIN_TEXT.fullmatch(text) is not None
+
+
 def lower_words(text: str) -> list[str]:
     """The words of a tokenizer that lower-cases, drops white space and cuts contractions, letters,
     single numbers and the rest; parts beyond Latin-1, and such with a special token, stay whole.
 
     For Latin-1 it is certain what is a letter and what lower case is.
     """
-    if "<|" not in text and _LATIN_TEXT.fullmatch(text):
+    if is_plain(text):
         return _WORDS.findall(text.lower())
     out: list[str] = []
     for part in spaced_pieces(text):
@@ -67,6 +75,54 @@ def lower_words(text: str) -> list[str]:
     return out
 
 
+# Classes of the characters of Latin-1, and what may follow an apostrophe as two characters.
+_SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
+_CLASSES = np.array(
+    [
+        _LETTER if re.match(f"[{_LETTERS}]", c) else _NUMBER if re.match(f"[{_NUMBERS}]", c) else _SPACE if c.isspace() else _OTHER
+        for c in map(chr, range(256))
+    ],
+    dtype=np.uint8,
+)
+_TAIL = np.zeros(256, dtype=bool)
+_TAIL[list(b"stmd")] = True
+_TAILS = [tuple(tail) for tail in (b"re", b"ve", b"ll")]
+
+
+def plain_words(texts: list[str]) -> pa.Array:
+    """The ``lower_words`` of each of many plain texts, as a list of Latin-1 bytes.
+
+    Words start where the class of characters changes, and at each number.  An apostrophe
+    that stands alone before one of the tails is one word with it.
+    """
+    codes = np.frombuffer("\n".join([*texts, "\n"]).lower().encode("latin-1"), dtype=np.uint8)
+    kind = _CLASSES[codes]
+    starts = kind == _NUMBER
+    starts[0] = True
+    starts[1:] |= kind[1:] != kind[:-1]
+    # Two line ends stand behind the last text, so a letter has at least two characters behind it.
+    marks = np.flatnonzero((codes == 39) & starts)
+    marks = marks[kind[marks + 1] == _LETTER]
+    first, second = codes[marks + 1], codes[marks + 2]
+    two = np.zeros(len(marks), dtype=bool)
+    for a, b in _TAILS:
+        two |= (first == a) & (second == b)
+    for found, size in ((_TAIL[first], 2), (two, 3)):
+        at = marks[found]
+        starts[at + 1] = False
+        starts[(at + size)[kind[at + size] == _LETTER]] = True
+    bounds = np.flatnonzero(starts)
+    sizes, is_word = np.diff(bounds, append=len(codes)), kind[bounds] != _SPACE
+    begins = np.cumsum([0, *[len(text) + 1 for text in texts]])
+    ends = np.cumsum(sizes[is_word])
+    words = pa.Array.from_buffers(
+        pa.large_binary(),
+        len(ends),
+        [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(codes[kind != _SPACE])],
+    )
+    return pa.LargeListArray.from_arrays(np.searchsorted(bounds[is_word], begins), words)
+
+
 # One such word by itself.
 _WORD = re.compile(rf"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[!-/:-@\[-`{{-~¡-©«-±´¶-¸»¿×÷]+")
 

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from postsieve.llm import bitplanes
 from postsieve.llm.bitplanes import Shard, crc32_joined, from_planes, to_planes, write_shard
+from postsieve.llm.words import is_plain, lower_words, plain_words
 from tests.llm.conftest import frame, odd_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +93,32 @@ def test_words_against_the_library(encoder, parts):
     assert np.frombuffer(next(encoder[0].encode([text])), dtype="<u4").tolist() == want
 
 
+_PARTS = [*"aZ9'!, .-²ªµßÀÿİ×\n\t\xa0\xad中", "'s", "'RE", "''ll", "<|endoftext|>", "word"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_PARTS), max_size=8).map("".join), max_size=6))
+def test_batches_of_plain_and_other_texts(encoder, texts):
+    want = [encoder[1].encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in encoder[0].encode(texts)] == want
+    plain = [text for text in texts if is_plain(text)]
+    assert [[w.decode("latin-1") for w in row] for row in plain_words(plain).to_pylist()] == [lower_words(t) for t in plain]
+
+
+def test_every_plain_character_in_lower_case():
+    text = " ".join(chr(c) for c in range(256) if is_plain(chr(c)))
+    assert [w.decode("latin-1") for w in plain_words([text])[0].as_py()] == lower_words(text)
+
+
+def test_a_word_is_looked_up_once_in_a_batch(encoder, monkeypatch):
+    asked, memory = [], encoder[0]._words
+    monkeypatch.setattr(memory, "of", lambda pieces, of=memory.of: asked.extend(pieces) or of(pieces))
+    texts = ["The cat's, the dog's. " * 1000, "THE cat  " * 500, "", "中 the cat " * 300]
+    got = [len(ids) // 4 for ids in encoder[0].encode(texts)]
+    assert got == [len(encoder[1].encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(asked) <= 12 and {"the", "cat", "'s", ",", "dog", ".", "中"} <= set(asked)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=70), st.sampled_from([1, 8]), st.integers(1, 40))
 def test_round_trip(numbers, bits, chunk):
